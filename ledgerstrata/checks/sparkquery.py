@@ -30,30 +30,28 @@ def query(function):
     return function
 
 
-class Bank:
+class Bank(roles.Roles):
     """The bank's tables, built from the benchmark tables of one folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, settings: Settings = SETTINGS):
-        self.spark, self.sf_dir, self.settings = spark, sf_dir, settings
-
-    def bronze(self, entity: str) -> DataFrame:
-        return roles.ENTITIES[entity](self.spark, self.sf_dir)
+        super().__init__(spark, sf_dir)
+        self.settings = settings
 
     def flagged(self, entity: str) -> DataFrame:
-        return silver.flagged_snapshot(entity, self.bronze(entity), self.settings)
+        return silver.flagged_snapshot(entity, self.raw(entity), self.settings)
 
     def dimension(self, entity: str) -> DataFrame:
-        return silver.dimension_from_bronze(entity, self.bronze(entity), self.settings)
+        return silver.dimension_from_bronze(entity, self.raw(entity), self.settings)
 
     def current(self, entity: str, columns: Sequence[str] | None = None) -> DataFrame:
         good = quality.good_records(self.flagged(entity))
         return silver.current_from_log(entity, good, self.settings, columns)
 
     def fact_source(self, entity: str) -> DataFrame:
-        return silver.clean_fact(entity, self.bronze(entity), self.settings)
+        return silver.clean_fact(entity, self.raw(entity), self.settings)
 
     def reference(self, entity: str) -> DataFrame:
-        return silver.clean_reference(entity, self.bronze(entity), self.settings)
+        return silver.clean_reference(entity, self.raw(entity), self.settings)
 
     def geography(self) -> DataFrame:
         return silver.geography_hierarchy(*map(self.reference, ("branches", "cities", "regions")))
@@ -63,8 +61,8 @@ class Bank:
             self.current("accounts", ["customer_id"]),
             self.current("customers", ["client_age", "prijem"]))
 
-    def card_owners(self) -> DataFrame:
-        return gold.card_owners(self.current("cards", ["account_id"]), self.owners())
+    def card_owners(self, owners: DataFrame | None = None) -> DataFrame:
+        return gold.card_owners(self.current("cards", ["account_id"]), owners or self.owners())
 
     def places(self) -> list[DataFrame]:
         return [self.reference("cities"), self.reference("regions")]
@@ -78,9 +76,10 @@ class Bank:
             self.fact_source("financial_transactions"), self.owners(), *self.places(), self.settings)
 
     def facts(self) -> DataFrame:
+        owners = self.owners()
         return gold.transaction_facts(
             self.fact_source("card_transactions"), self.fact_source("financial_transactions"),
-            self.owners(), self.card_owners(), *self.places(), self.settings)
+            owners, self.card_owners(owners), *self.places(), self.settings)
 
     def metrics(self) -> DataFrame:
         return gold.business_metrics(self.facts(), self.settings)
@@ -89,8 +88,12 @@ class Bank:
         return gold.customer_summary(self.current("customers"))
 
 
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return roles.Roles(spark, sf_dir).table(name)
+
+
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return roles.table(spark, sf_dir, "events")
+    return _table(spark, sf_dir, "events")
 
 
 def _event_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,19 +122,19 @@ def band_daytype(spark, sf_dir):
 
 @query
 def band_income(spark, sf_dir):
-    return roles.table(spark, sf_dir, "customer").select(
+    return _table(spark, sf_dir, "customer").select(
         "c_custkey", bands.income_segment(F.col("c_acctbal") * 10).alias("income_segment"))
 
 
 @query
 def band_age(spark, sf_dir):
     age = AS_OF.year - (1930 + F.col("c_custkey") % 90)
-    return roles.table(spark, sf_dir, "customer").select("c_custkey", bands.age_group(age).alias("age_group"))
+    return _table(spark, sf_dir, "customer").select("c_custkey", bands.age_group(age).alias("age_group"))
 
 
 @query
 def band_tier(spark, sf_dir):
-    return roles.table(spark, sf_dir, "customer").select(
+    return _table(spark, sf_dir, "customer").select(
         "c_custkey", bands.customer_tier(F.col("c_acctbal") * 10).alias("customer_tier"))
 
 
@@ -147,7 +150,7 @@ def calendar_parts(spark, sf_dir):
 
 
 def _address(spark, sf_dir, settings):
-    clean = silver.typed_customers(Bank(spark, sf_dir).bronze("customers"), settings)
+    clean = silver.typed_customers(Bank(spark, sf_dir).raw("customers"), settings)
     return clean.select(
         "customer_id", SNAPSHOT, "cela_adresa", "ulice", "cislo_popisne", "mesto", "zip_code").distinct()
 
@@ -171,13 +174,13 @@ def branch_address(spark, sf_dir):
 def phone_normalise(spark, sf_dir):
     phone = F.col("tel_cislo")
     prefix, number = text.phone_parts(phone)
-    log = Bank(spark, sf_dir).bronze("customers")
+    log = Bank(spark, sf_dir).raw("customers")
     return log.select("customer_id", prefix.alias("predcisli"), number.alias("tel_cislo")).distinct()
 
 
 @query
 def typed_casts(spark, sf_dir):
-    clean = silver.typed_customers(Bank(spark, sf_dir).bronze("customers"), SETTINGS)
+    clean = silver.typed_customers(Bank(spark, sf_dir).raw("customers"), SETTINGS)
     return clean.select(
         "customer_id", SNAPSHOT, "datum_narozeni", "datum_prvniho_otevreni_uctu", "prijem",
         "sum_prm_uspor_12m", "min_atm_amt", "pocet_clenu_domacnost", "pocet_nemovitosti")
@@ -185,13 +188,13 @@ def typed_casts(spark, sf_dir):
 
 @query
 def age_tenure_asof(spark, sf_dir):
-    clean = silver.typed_customers(Bank(spark, sf_dir).bronze("customers"), SETTINGS)
+    clean = silver.typed_customers(Bank(spark, sf_dir).raw("customers"), SETTINGS)
     return clean.select("customer_id", "client_age", "days_from_open_first_acc").distinct()
 
 
 @query
 def snapshot_date_from_path(spark, sf_dir):
-    orders = roles.table(spark, sf_dir, "orders")
+    orders = _table(spark, sf_dir, "orders")
     folder = F.when(F.col("o_orderkey") % 11 == 0, F.lit("2024.13.40")).when(
         F.col("o_orderkey") % 7 == 0, F.lit("undated")).otherwise(
         F.date_format("o_orderdate", lineage.SNAPSHOT_FORMAT))
@@ -282,7 +285,7 @@ def scd2_current(spark, sf_dir):
 
 @query
 def scd2_untracked(spark, sf_dir):
-    log = roles.table(spark, sf_dir, "orders").select(
+    log = _table(spark, sf_dir, "orders").select(
         "o_custkey", "o_orderdate", "o_orderkey", "o_orderpriority",
         F.col("o_totalprice").cast("decimal(20,2)").alias("o_totalprice"))
     return scd2(log, ["o_custkey"], "o_orderdate", untracked=["o_totalprice"], tie_break=["o_orderkey"],
@@ -302,7 +305,7 @@ def asof_lookup(spark, sf_dir):
 
 @query
 def asof_join_events(spark, sf_dir):
-    orders = roles.table(spark, sf_dir, "orders")
+    orders = _table(spark, sf_dir, "orders")
     history = scd2(
         orders.select(F.col("o_custkey").alias("user_id"), "o_orderdate", "o_orderkey", "o_orderpriority"),
         ["user_id"], "o_orderdate", tie_break=["o_orderkey"], start="start_at", end="end_at")
@@ -342,14 +345,14 @@ def dim_employees(spark, sf_dir):
 
 @query
 def dedupe_latest(spark, sf_dir):
-    lines = roles.table(spark, sf_dir, "lineitem").select(
+    lines = _table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
     return latest_per_key(lines, ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey", "l_suppkey"])
 
 
 def _shared_accounts(spark, sf_dir):
     """Priority as an account several customers held in turn."""
-    log = roles.table(spark, sf_dir, "orders").select(
+    log = _table(spark, sf_dir, "orders").select(
         F.concat("o_orderpriority", F.lit("-"), (F.col("o_custkey") % 100).cast("string")).alias("account_id"),
         F.col("o_custkey").cast("string").alias("customer_id"), F.col("o_orderstatus").alias("stav"),
         F.col("o_orderdate").cast("date").alias(SNAPSHOT), F.timestamp_seconds("o_orderkey").alias(INGESTED))
@@ -528,7 +531,7 @@ def merchant_performance(spark, sf_dir):
 
 @query
 def missing_days(spark, sf_dir):
-    return monitors.missing_days(Bank(spark, sf_dir).bronze("customers"))
+    return monitors.missing_days(Bank(spark, sf_dir).raw("customers"))
 
 
 @query
@@ -539,7 +542,7 @@ def volume_anomalies(spark, sf_dir):
 
 @query
 def late_deliveries(spark, sf_dir):
-    orders = roles.table(spark, sf_dir, "orders")
+    orders = _table(spark, sf_dir, "orders")
     taken = F.col("o_orderdate") + F.make_interval(hours=(F.col("o_orderkey") % 60).cast("int"))
     bronze = orders.select(
         F.col("o_orderdate").cast("date").alias(SNAPSHOT), taken.cast("timestamp").alias(INGESTED))

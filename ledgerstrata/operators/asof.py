@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import cut_lineage
 from ..schemas import END, START
-from .hotkeys import HOT_ROWS, SLICE, hot_keys, same_keys, slice_edges, slice_of, split_hot
+from .hotkeys import HOT_ROWS, SLICE, hot_keys, join_on, slice_edges, slice_of, split_hot
 
 
 def asof_join(
@@ -75,6 +75,5 @@ def _last_opened_in_slices(line: DataFrame, keys: Sequence[str], hot_rows: int)
         *cell, F.last("_carried", ignorenulls=True).over(before).alias("_carried"))
     seen = F.last("_version", ignorenulls=True).over(_up_to_here(cell))
     inner = sliced.withColumn("_version", seen).where("_kind = 1")
-    return inner.join(carried, same_keys(inner, carried, cell), "left").select(
-        *(inner[c] for c in line.columns if c != "_version"),
-        F.coalesce(inner["_version"], carried["_carried"]).alias("_version"))
+    return join_on(inner, carried, cell, "left").select(
+        *(F.coalesce("_version", "_carried").alias(c) if c == "_version" else c for c in line.columns))

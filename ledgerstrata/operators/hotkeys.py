@@ -21,9 +21,11 @@ MAX_SLICES = 2048
 SLICE = "_slice"
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """NULL-safe equality of all keys."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on NULL-safe equality of the keys, keeping the left side's."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return left.join(renamed, same, how).drop(*(f"_right_{k}" for k in keys))
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
@@ -38,8 +40,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
 
 def split_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Rows of hot keys, and all others."""
-    match = same_keys(df, hot, keys)
-    return df.join(hot, match, "left_semi"), df.join(hot, match, "left_anti")
+    return join_on(df, hot, keys, "left_semi"), join_on(df, hot, keys, "left_anti")
 
 
 def slice_edges(df: DataFrame, order: str, hot_rows: int = HOT_ROWS) -> list[Column]:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import cut_lineage
 from ..schemas import END, START
-from .hotkeys import HOT_ROWS, SLICE, hot_keys, same_keys, slice_edges, slice_of, split_hot
+from .hotkeys import HOT_ROWS, SLICE, hot_keys, join_on, slice_edges, slice_of, split_hot
 
 
 def scd2(
@@ -142,17 +142,18 @@ class _History:
             F.max(self.sequence).alias("_last"), F.max_by(self.state, self.sequence).alias("_tail"),
         ).select(
             *cell,
-            F.lag("_tail").over(across).alias("_tail"), F.lag("_last").over(across).alias("_last"),
-            F.lead("_head").over(across).alias("_head"), F.lead("_first").over(across).alias("_first"),
+            F.lag("_tail").over(across).alias("_halo_state_before"),
+            F.lag("_last").over(across).alias("_halo_seq_before"),
+            F.lead("_head").over(across).alias("_halo_state_after"),
+            F.lead("_first").over(across).alias("_halo_seq_after"),
         )
         inner = sliced.select("*", *self._neighbours(in_slice))
-        joined = inner.join(halo, same_keys(inner, halo, cell), "left").select(
-            *(inner[c] for c in (*self.columns, SLICE)),
-            F.when(inner["_seq_before"].isNull(), halo["_tail"]).otherwise(inner["_state_before"]).alias("_state_before"),
-            F.coalesce(inner["_seq_before"], halo["_last"]).alias("_seq_before"),
-            F.when(inner["_seq_after"].isNull(), halo["_head"]).otherwise(inner["_state_after"]).alias("_state_after"),
-            F.coalesce(inner["_seq_after"], halo["_first"]).alias("_seq_after"),
-        )
+        joined = join_on(inner, halo, cell, "left").withColumns({
+            f"_{what}_{side}": F.when(
+                F.col(f"_seq_{side}").isNull(), F.col(f"_halo_{what}_{side}")
+            ).otherwise(F.col(f"_{what}_{side}"))
+            for side in ("before", "after") for what in ("state", "seq")
+        })
         flagged = cut_lineage(self._flagged(joined))
 
         # First opening and first closing of the slices after this one.
@@ -174,11 +175,8 @@ class _History:
             F.lead(seq, 2).over(in_slice).alias("_seq2"),
             F.lead(self.last_seen, 1).over(in_slice).alias("_seen1"),
         ).where("_opens")
-        opened = ahead.join(later, same_keys(ahead, later, cell), "left").select(
-            *(ahead[c] for c in ahead.columns), "_later_open", "_later_close"
-        )
         return self._published(
-            opened,
+            join_on(ahead, later, cell, "left"),
             seen=F.when(F.col("_closes"), self.last_seen).otherwise(
                 F.coalesce("_seen1", "_later_close")),
             until=F.coalesce(

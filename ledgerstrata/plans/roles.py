@@ -1,189 +1,154 @@
 """The benchmark tables in the roles of the bank's raw tables.
 
-Each function returns an entity in the shape of its raw table: identifiers and
+Each entity is one projection into the shape of its raw table: identifiers and
 free text as strings, dated snapshots with an ingestion time.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from ..schemas import INGESTED, LANDING, SNAPSHOT
-
-FIRST_SNAPSHOT = "1990-01-01"
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def _text(name: str) -> Column:
-    return F.col(name).cast("string")
-
-
-def _account_id(customer: Column, kind: Column) -> Column:
-    return F.concat(customer.cast("string"), F.lit("-"), kind)
-
-
-def _delivered(order: Column) -> Column:
-    return F.timestamp_seconds(order)
-
-
-def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every customer once at the start, and again with each order.
-
-    An order stands for a later snapshot of its customer: status, job and
-    income are the order's status, priority and price.
-    """
-    person = table(spark, sf_dir, "customer")
-    start = person.select(
-        "c_custkey", F.lit("N").alias("stav"), F.lit("0-START").alias("pracovni_stav"),
-        (F.col("c_acctbal") * 10).cast("decimal(20,2)").cast("string").alias("prijem"),
-        F.lit(FIRST_SNAPSHOT).cast("date").alias(SNAPSHOT), _delivered(F.lit(0)).alias(INGESTED))
-    later = table(spark, sf_dir, "orders").select(
-        F.col("o_custkey").alias("c_custkey"), F.col("o_orderstatus").alias("stav"),
-        F.col("o_orderpriority").alias("pracovni_stav"),
-        (F.col("o_totalprice") / 5).cast("decimal(20,2)").cast("string").alias("prijem"),
-        F.col("o_orderdate").cast("date").alias(SNAPSHOT),
-        _delivered(F.col("o_orderkey")).alias(INGESTED))
-    log = start.unionByName(later).join(person, "c_custkey")
-    key = F.col("c_custkey")
-    padded = F.lpad(key.cast("string"), 9, "0")
-    columns = {
-        "customer_id": key.cast("string"),
-        "jmeno": F.col("c_mktsegment"),
-        "prijmeni": F.col("c_name"),
-        "adresa": F.concat(
-            F.lit("Street "), (key % 300).cast("string"), F.lit(", City "), _text("c_nationkey"),
-            F.lit(", "), (10000 + key % 90000).cast("string")),
-        "email": F.concat(F.lower("c_name"), F.lit("@mail.test")),
-        "rodne_cislo": F.concat(padded, F.lit("/"), (key % 10).cast("string")),
-        "tel_cislo": F.when(key % 3 == 0, F.concat(F.lit("+420 "), padded)).when(key % 3 == 1, padded),
-        "datum_narozeni": F.when(key % 53 == 0, F.lit("unknown")).otherwise(
-            F.concat((1920 + key % 90).cast("string"), F.lit("-01-15"))),
-        "typ_bydleni": F.when(key % 2 == 0, F.lit("own")).otherwise(F.lit("rent")),
-        "pohlavi": F.when(key % 2 == 0, F.lit("F")).otherwise(F.lit("M")),
-        "pocet_clenu_domacnost": F.concat((1 + key % 6).cast("string"), F.lit(".0")),
-        "datum_prvniho_otevreni_uctu": F.concat((1990 + key % 30).cast("string"), F.lit("-03-15")),
-        "zeme": F.concat(F.lit("Country "), (F.col("c_nationkey") % 5).cast("string")),
-        "titul_pred": F.lit(None).cast("string"),
-        "titul_za": F.lit(None).cast("string"),
-        "sum_prm_uspor_12m": _text("c_acctbal"),
-        "min_atm_amt": F.lit("500.00"),
-        "rezident": F.lit("ano"),
-        "pocet_nemovitosti": (key % 4).cast("string"),
-    }
-    return log.select(
-        *(columns.get(c, F.col(c)).alias(c) for c in LANDING["customers"]), SNAPSHOT, INGESTED)
-
-
-def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One account per customer and order priority, seen again with each order."""
-    return table(spark, sf_dir, "orders").select(
-        _account_id(F.col("o_custkey"), F.col("o_orderpriority")).alias("account_id"),
-        _text("o_custkey").alias("customer_id"),
-        F.col("o_orderpriority").alias("typ_uctu"),
-        F.col("o_orderstatus").alias("stav"),
-        F.when(F.col("o_orderkey") % 41 != 0, F.lit("CZK")).alias("mena"),
-        F.lit("1995-01-01").alias("datum_otevreni"),
-        F.lit(None).cast("string").alias("datum_uzavreni"),
-        F.col("o_orderdate").cast("date").alias(SNAPSHOT),
-        _delivered(F.col("o_orderkey")).alias(INGESTED))
-
-
-def cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One card per order, drawn on the order's account."""
-    return table(spark, sf_dir, "orders").select(
-        _text("o_orderkey").alias("card_id"),
-        _account_id(F.col("o_custkey"), F.col("o_orderpriority")).alias("account_id"),
-        F.col("o_orderpriority").alias("typ_karty"),
-        F.col("o_orderstatus").alias("stav"),
-        F.date_add(F.col("o_orderdate").cast("date"), 1000).cast("string").alias("platnost_do"),
-        F.col("o_orderdate").cast("date").alias(SNAPSHOT),
-        _delivered(F.col("o_orderkey")).alias(INGESTED))
-
-
-def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Speakers of a conversation as one employee who changes roles by turn."""
-    return table(spark, sf_dir, "conversations").select(
-        _text("conv_id").alias("employee_id"), F.lit("E").alias("jmeno"),
-        F.when(F.col("turn") != 3, F.concat(F.lit("Surname "), _text("conv_id"))).alias("prijmeni"),
-        "role", (F.col("conv_id") % 10).cast("string").alias("branch_id"),
-        F.date_add(F.lit("2024-01-01").cast("date"), F.col("turn").cast("int")).alias(SNAPSHOT),
-        _delivered(F.col("turn")).alias(INGESTED))
-
-
-def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "region").select(
-        _text("r_regionkey").alias("region_id"), F.col("r_name").alias("nazev"))
-
-
-def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "nation").select(
-        _text("n_nationkey").alias("city_id"), F.col("n_name").alias("nazev"),
-        _text("n_regionkey").alias("region_id"))
-
-
-def branches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("s_suppkey")
-    number = F.when(key % 3 == 0, F.concat(F.lit(" "), key.cast("string"), F.lit("a / 3B"))).when(
-        key % 3 == 1, F.concat(F.lit(" "), key.cast("string"))).otherwise(F.lit(""))
-    return table(spark, sf_dir, "supplier").select(
-        _text("s_suppkey").alias("branch_id"), F.col("s_name").alias("nazev"),
-        F.concat(F.lit("28. street"), number, F.lit(", Town "), _text("s_nationkey"), F.lit(", "),
-                 (10000 + key).cast("string")).alias("adresa"),
-        _text("s_nationkey").alias("city_id"))
-
-
-def merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select(
-        _text("p_partkey").alias("merchant_id"), F.col("p_name").alias("nazev"),
-        F.col("p_type").alias("kategorie"))
-
-
-def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select(
-        _text("p_partkey").alias("product_id"), F.col("p_name").alias("nazev"),
-        F.col("p_brand").alias("kategorie"))
-
-
-def card_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as payments by the order's card; some places are unknown."""
-    return table(spark, sf_dir, "lineitem").select(
-        F.concat_ws("-", "l_orderkey", "l_partkey", "l_linenumber").alias("card_transaction_id"),
-        _text("l_orderkey").alias("card_id"),
-        _text("l_partkey").alias("merchant_id"),
-        F.col("l_extendedprice").alias("amount"),
-        F.col("l_shipdate").alias("datum"),
-        F.col("l_returnflag").alias("typ_transakce"),
-        (F.col("l_suppkey") % 30).cast("string").alias("city_id"),
-        (F.col("l_suppkey") % 7).cast("string").alias("region_id"))
-
-
-def financial_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as transfers on the user's urgent account; some have none."""
-    return table(spark, sf_dir, "events").select(
-        _text("event_id").alias("transaction_id"),
-        _account_id(F.col("user_id"), F.lit("1-URGENT")).alias("account_id"),
-        F.col("value").alias("amount"),
-        F.col("ts").alias("datum"),
-        F.col("event_type").alias("typ_transakce"),
-        (F.col("event_id") % 30).cast("string").alias("city_id"),
-        (F.col("event_id") % 7).cast("string").alias("region_id"))
-
-
-def account_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Value moved per user and day as that day's balance."""
-    return (
-        table(spark, sf_dir, "events")
-        .groupBy("user_id", F.col("ts").cast("date").alias("datum"))
-        .agg(F.sum(F.col("value").cast("decimal(20,2)")).alias("balance"))
-        .select(_text("user_id").alias("account_id"), F.col("balance").cast("string").alias("balance"),
-                F.col("datum").cast("string").alias("datum"))
-    )
-
-
-ENTITIES = {f.__name__: f for f in (
-    customers, accounts, cards, employees, branches, cities, regions, products, merchants,
-    account_balances, card_transactions, financial_transactions)}
+from pyspark.sql import DataFrame, SparkSession
+
+from ..schemas import LANDING
+
+#: Role of each entity: source table and column expressions.
+_PROJECTIONS: dict[str, tuple[str, dict[str, str]]] = {
+    # One account per customer and order priority, seen again with each order.
+    "accounts": ("orders", {
+        "account_id": "concat(o_custkey, '-', o_orderpriority)",
+        "customer_id": "string(o_custkey)",
+        "typ_uctu": "o_orderpriority",
+        "stav": "o_orderstatus",
+        "mena": "CASE WHEN o_orderkey % 41 <> 0 THEN 'CZK' END",
+        "datum_otevreni": "'1995-01-01'",
+        "datum_uzavreni": "string(NULL)",
+        "snapshot_date": "date(o_orderdate)",
+        "ingestion_ts": "timestamp_seconds(o_orderkey)",
+    }),
+    # One card per order, drawn on the order's account.
+    "cards": ("orders", {
+        "card_id": "string(o_orderkey)",
+        "account_id": "concat(o_custkey, '-', o_orderpriority)",
+        "typ_karty": "o_orderpriority",
+        "stav": "o_orderstatus",
+        "platnost_do": "string(date_add(date(o_orderdate), 1000))",
+        "snapshot_date": "date(o_orderdate)",
+        "ingestion_ts": "timestamp_seconds(o_orderkey)",
+    }),
+    # Speakers of a conversation as one employee who changes roles by turn.
+    "employees": ("conversations", {
+        "employee_id": "string(conv_id)",
+        "jmeno": "'E'",
+        "prijmeni": "CASE WHEN turn <> 3 THEN concat('Surname ', conv_id) END",
+        "role": "role",
+        "branch_id": "string(conv_id % 10)",
+        "snapshot_date": "date_add(DATE'2024-01-01', int(turn))",
+        "ingestion_ts": "timestamp_seconds(turn)",
+    }),
+    "regions": ("region", {"region_id": "string(r_regionkey)", "nazev": "r_name"}),
+    "cities": ("nation", {
+        "city_id": "string(n_nationkey)", "nazev": "n_name", "region_id": "string(n_regionkey)"}),
+    "branches": ("supplier", {
+        "branch_id": "string(s_suppkey)",
+        "nazev": "s_name",
+        "adresa": "concat('28. street', CASE s_suppkey % 3 WHEN 0 THEN concat(' ', s_suppkey, 'a / 3B')"
+                  " WHEN 1 THEN concat(' ', s_suppkey) ELSE '' END,"
+                  " ', Town ', s_nationkey, ', ', 10000 + s_suppkey)",
+        "city_id": "string(s_nationkey)",
+    }),
+    "merchants": ("part", {"merchant_id": "string(p_partkey)", "nazev": "p_name", "kategorie": "p_type"}),
+    "products": ("part", {"product_id": "string(p_partkey)", "nazev": "p_name", "kategorie": "p_brand"}),
+    # Line items as payments by the order's card; some places are unknown.
+    "card_transactions": ("lineitem", {
+        "card_transaction_id": "concat_ws('-', l_orderkey, l_partkey, l_linenumber)",
+        "card_id": "string(l_orderkey)",
+        "merchant_id": "string(l_partkey)",
+        "amount": "l_extendedprice",
+        "datum": "l_shipdate",
+        "typ_transakce": "l_returnflag",
+        "city_id": "string(l_suppkey % 30)",
+        "region_id": "string(l_suppkey % 7)",
+    }),
+    # Events as transfers on the user's urgent account; some have none.
+    "financial_transactions": ("events", {
+        "transaction_id": "string(event_id)",
+        "account_id": "concat(user_id, '-1-URGENT')",
+        "amount": "value",
+        "datum": "ts",
+        "typ_transakce": "event_type",
+        "city_id": "string(event_id % 30)",
+        "region_id": "string(event_id % 7)",
+    }),
+}
+
+#: A customer's fixed attributes, from the customer table.
+_PERSON = {
+    "customer_id": "string(c_custkey)",
+    "jmeno": "c_mktsegment",
+    "prijmeni": "c_name",
+    "adresa": "concat('Street ', c_custkey % 300, ', City ', c_nationkey, ', ', 10000 + c_custkey % 90000)",
+    "email": "concat(lower(c_name), '@mail.test')",
+    "rodne_cislo": "concat(lpad(string(c_custkey), 9, '0'), '/', c_custkey % 10)",
+    "tel_cislo": "CASE c_custkey % 3 WHEN 0 THEN concat('+420 ', lpad(string(c_custkey), 9, '0'))"
+                 " WHEN 1 THEN lpad(string(c_custkey), 9, '0') END",
+    "datum_narozeni": "CASE WHEN c_custkey % 53 = 0 THEN 'unknown'"
+                      " ELSE concat(1920 + c_custkey % 90, '-01-15') END",
+    "typ_bydleni": "CASE WHEN c_custkey % 2 = 0 THEN 'own' ELSE 'rent' END",
+    "pohlavi": "CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END",
+    "pocet_clenu_domacnost": "concat(1 + c_custkey % 6, '.0')",
+    "datum_prvniho_otevreni_uctu": "concat(1990 + c_custkey % 30, '-03-15')",
+    "zeme": "concat('Country ', c_nationkey % 5)",
+    "titul_pred": "string(NULL)",
+    "titul_za": "string(NULL)",
+    "sum_prm_uspor_12m": "string(c_acctbal)",
+    "min_atm_amt": "'500.00'",
+    "rezident": "'ano'",
+    "pocet_nemovitosti": "string(c_custkey % 4)",
+}
+
+
+class Roles:
+    """Raw tables of the bank, made from the benchmark tables of one folder."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
+
+    def table(self, name: str) -> DataFrame:
+        """A benchmark table; its footer is read once."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._tables[name]
+
+    def raw(self, entity: str) -> DataFrame:
+        if entity == "customers":
+            return self._customers()
+        if entity == "account_balances":
+            return self._balances()
+        source, columns = _PROJECTIONS[entity]
+        return self.table(source).selectExpr(*(f"{sql} AS {name}" for name, sql in columns.items()))
+
+    def _customers(self) -> DataFrame:
+        """Every customer once at the start, and again with each order.
+
+        An order stands for a later snapshot of its customer: status, job and
+        income are the order's status, priority and price.
+        """
+        person = self.table("customer")
+        start = person.selectExpr(
+            "c_custkey", "'N' AS stav", "'0-START' AS pracovni_stav",
+            "string(CAST(c_acctbal * 10 AS DECIMAL(20,2))) AS prijem",
+            "DATE'1990-01-01' AS snapshot_date", "timestamp_seconds(0) AS ingestion_ts")
+        later = self.table("orders").selectExpr(
+            "o_custkey AS c_custkey", "o_orderstatus AS stav", "o_orderpriority AS pracovni_stav",
+            "string(CAST(o_totalprice / 5 AS DECIMAL(20,2))) AS prijem",
+            "date(o_orderdate) AS snapshot_date", "timestamp_seconds(o_orderkey) AS ingestion_ts")
+        columns = [f"{_PERSON[c]} AS {c}" if c in _PERSON else c for c in LANDING["customers"]]
+        return start.unionByName(later).join(person, "c_custkey").selectExpr(
+            *columns, "snapshot_date", "ingestion_ts")
+
+    def _balances(self) -> DataFrame:
+        """Value moved per user and day as that day's balance."""
+        daily = self.table("events").selectExpr(
+            "user_id", "date(ts) AS day", "CAST(value AS DECIMAL(20,2)) AS value")
+        return daily.groupBy("user_id", "day").agg({"value": "sum"}).selectExpr(
+            "string(user_id) AS account_id", "string(`sum(value)`) AS balance", "string(day) AS datum")
