@@ -66,7 +66,7 @@ def bad_records(clean: DataFrame) -> DataFrame:
     return clean.where(F.col(QUARANTINED)).drop(QUARANTINED)
 
 
-def _counters(rules: Rules) -> list[Column]:
+def counters(rules: Rules) -> list[Column]:
     held = {name: F.coalesce(F.expr(rule), F.lit(False)) for name, rule in rules.items()}
     return [
         *(F.count_if(ok).alias(f"{name}__passed") for name, ok in held.items()),
@@ -77,11 +77,11 @@ def _counters(rules: Rules) -> list[Column]:
 def observed(df: DataFrame, rules: Rules, name: str) -> tuple[DataFrame, Observation]:
     """The same rows, counting passes and failures per rule as they flow by."""
     observation = Observation(name)
-    return df.observe(observation, *_counters(rules)), observation
+    return df.observe(observation, *counters(rules)), observation
 
 
 def rule_counts(df: DataFrame, rules: Rules) -> DataFrame:
     """Rows that pass and fail each rule, counted in one pass; no row is dropped."""
-    counts = df.agg(*_counters(rules))
+    counts = df.agg(*counters(rules))
     rows = ", ".join(f"'{r}', {r}__passed, {r}__failed" for r in rules)
     return counts.select(F.expr(f"stack({len(rules)}, {rows}) AS (rule, passed_rows, failed_rows)"))
