@@ -449,3 +449,48 @@ ORACLE: dict[str, str] = {
       SELECT transaction_date, count(*) AS transactions, count(DISTINCT customer_id) AS active_customers
       FROM facts GROUP BY ALL"""),
 }
+
+_COUNTED = {
+    "customers_clean_silver": "clean_customers", "customers_clean_good_records": "good_customers",
+    "accounts_clean_silver": "clean_accounts", "accounts_clean_good_records": "good_accounts",
+    "cards_clean_silver": "log_cards", "cards_clean_good_records": "log_cards",
+    "employees_clean_silver": "clean_employees",
+    "dim_customers": "dim_customers", "dim_accounts": "dim_accounts", "dim_cards": "dim_cards",
+    "dim_employees": "dim_employees", "account_balances_silver": "balances",
+    "card_transactions_silver": "lineitem", "financial_transactions_silver": "events",
+    "merchants_silver": "part", "products_silver": "part", "regions_silver": "region",
+    "cities_silver": "nation", "branches_silver": "supplier", "dim_geography_hierarchy": "geography",
+    "fact_transaction_analytics_simplified": "facts", "table_basic_business_metrics": "metrics",
+    "table_customer_summary": "summary",
+    "customers_bronze": "log_customers", "accounts_bronze": "orders", "cards_bronze": "orders",
+    "employees_bronze": "conversations", "branches_bronze": "supplier", "cities_bronze": "nation",
+    "regions_bronze": "region", "products_bronze": "part", "merchants_bronze": "part",
+    "account_balances_bronze": "balances", "card_transactions_bronze": "lineitem",
+    "financial_transactions_bronze": "events",
+}
+_COUNTED_WHERE = {
+    "customers_clean_bad_records": "clean_customers WHERE is_quarantined",
+    "accounts_clean_bad_records": "clean_accounts WHERE is_quarantined",
+    "cards_clean_bad_records": "log_cards WHERE card_id IS NULL",
+    "employees_clean_good_records": "clean_employees WHERE prijmeni IS NOT NULL AND role IS NOT NULL",
+    "employees_clean_bad_records": "clean_employees WHERE prijmeni IS NULL OR role IS NULL",
+}
+
+ORACLE |= {
+    "stream_ingest_csv": ORACLE["card_transactions_silver"],
+    "stream_clean": _ask("SELECT * EXCLUDE (ord) FROM clean_customers"),
+    "stream_route": _ask("""
+      SELECT * EXCLUDE (ord, is_quarantined),
+             CASE WHEN is_quarantined THEN 'bad' ELSE 'good' END AS side FROM clean_accounts"""),
+    "stream_scd2": ORACLE["dim_accounts"],
+    "stream_fact": ORACLE["fact_union"],
+    "stream_metrics_dashboard": ORACLE["exec_dashboard"],
+    "refresh_all_tables": _ask(" UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS rows FROM {source}"
+        for name, source in {**_COUNTED, **_COUNTED_WHERE}.items())),
+    "schema_drift": """
+      SELECT 'expected' AS delivery, count(*) AS rows, CAST(0 AS BIGINT) AS rescued_rows FROM nation
+      UNION ALL SELECT 'widened', count(*), count(*) FROM nation""",
+    "header_drift": "SELECT 'reordered' AS delivery",
+    "balances_through_csv": ORACLE["account_balances_silver"],
+}

@@ -12,7 +12,11 @@ from ..operators.latest import latest_per_key
 from ..operators.scd2 import history_of
 from ..schemas import END, START
 
-ROWS = F.count(F.lit(1))
+
+def _rows() -> Column:
+    return F.count(F.lit(1))
+
+
 VOLUME = "decimal(38,2)"
 RATE = "double"
 
@@ -36,7 +40,7 @@ def income_history(customers: DataFrame, customer_id: str) -> DataFrame:
 
 def account_lifecycle(accounts: DataFrame) -> DataFrame:
     """Current accounts by type and status."""
-    return accounts.groupBy("typ_uctu", "stav").agg(ROWS.alias("pocet_uctu"))
+    return accounts.groupBy("typ_uctu", "stav").agg(_rows().alias("pocet_uctu"))
 
 
 def transactions_with_customer(
@@ -49,19 +53,19 @@ def transactions_with_customer(
 def executive_dashboard(metrics: DataFrame, year: int, month: int) -> DataFrame:
     in_month = (F.col("transaction_year") == year) & (F.col("transaction_month") == month)
     return metrics.where(in_month).groupBy("region_name", "time_period").agg(
-        ROWS.alias("transaction_count"), _volume().alias("total_volume"))
+        _rows().alias("transaction_count"), _volume().alias("total_volume"))
 
 
 def customer_segmentation(summary: DataFrame) -> DataFrame:
     return summary.groupBy("customer_tier", "age_group").agg(
-        ROWS.alias("customer_count"), _mean("annual_income").alias("avg_income"))
+        _rows().alias("customer_count"), _mean("annual_income").alias("avg_income"))
 
 
 def transaction_trends(metrics: DataFrame, since: dt.date) -> DataFrame:
     return (
         metrics.where(F.col("transaction_date") >= F.lit(since))
         .groupBy("day_type", "income_segment", "transaction_value_segment")
-        .agg(ROWS.alias("transactions"), _mean().alias("avg_amount"))
+        .agg(_rows().alias("transactions"), _mean().alias("avg_amount"))
     )
 
 
@@ -76,7 +80,7 @@ def weekend_spend(
     if city is not None:
         chosen &= F.col("city_name") == city
     return facts.where(chosen).groupBy("city_name").agg(
-        ROWS.alias("transactions"), _volume().alias("total_spend"))
+        _rows().alias("transactions"), _volume().alias("total_spend"))
 
 
 def high_value_trend(facts: DataFrame, months: int) -> DataFrame:
@@ -87,37 +91,37 @@ def high_value_trend(facts: DataFrame, months: int) -> DataFrame:
         (F.col("transaction_date") >= start)
         & (F.col("transaction_value_segment") == bands.VALUE_OVER[0][1]))
     return recent.groupBy("transaction_year", "transaction_month").agg(
-        ROWS.alias("transactions"), _volume().alias("total_volume"))
+        _rows().alias("transactions"), _volume().alias("total_volume"))
 
 
 def evening_regions(metrics: DataFrame, top: int) -> DataFrame:
     """Regions with most evening transactions."""
     evening = F.col("time_period") == bands.HOUR_BETWEEN[1][2]
-    per_region = metrics.where(evening).groupBy("region_name").agg(ROWS.alias("transactions"))
+    per_region = metrics.where(evening).groupBy("region_name").agg(_rows().alias("transactions"))
     return per_region.orderBy(F.desc("transactions"), "region_name").limit(top)
 
 
 def income_segment_behaviour(metrics: DataFrame) -> DataFrame:
     return metrics.groupBy("income_segment").agg(
-        ROWS.alias("transactions"), _mean().alias("avg_amount"), _volume().alias("total_volume"))
+        _rows().alias("transactions"), _mean().alias("avg_amount"), _volume().alias("total_volume"))
 
 
 def daily_summary(metrics: DataFrame) -> DataFrame:
     return metrics.groupBy("transaction_date", "time_period").agg(
-        ROWS.alias("transactions"), _volume().alias("total_volume"))
+        _rows().alias("transactions"), _volume().alias("total_volume"))
 
 
 def region_ranking(metrics: DataFrame, top: int) -> DataFrame:
     """Regions by number of transactions, then by volume."""
     per_region = metrics.groupBy("region_name").agg(
-        ROWS.alias("transactions"), _volume().alias("total_volume"))
+        _rows().alias("transactions"), _volume().alias("total_volume"))
     return per_region.orderBy(F.desc("transactions"), F.desc("total_volume"), "region_name").limit(top)
 
 
 def weekend_comparison(metrics: DataFrame) -> DataFrame:
     """Per value segment, weekend and weekday transactions side by side."""
     pivoted = metrics.groupBy("transaction_value_segment").pivot(
-        "day_type", [bands.WEEKEND, bands.WEEKDAY]).agg(ROWS)
+        "day_type", [bands.WEEKEND, bands.WEEKDAY]).agg(_rows())
     return pivoted.select(
         "transaction_value_segment",
         F.coalesce(bands.WEEKEND, F.lit(0)).alias("weekend_transactions"),
@@ -129,7 +133,7 @@ def evening_share(metrics: DataFrame) -> DataFrame:
     """Evening share of the transactions of each month."""
     evening = F.count_if(F.col("time_period") == bands.HOUR_BETWEEN[1][2])
     return metrics.groupBy("transaction_year", "transaction_month").agg(
-        ROWS.alias("transactions"), evening.alias("evening_transactions")
+        _rows().alias("transactions"), evening.alias("evening_transactions")
     ).withColumn(
         "evening_share", F.col("evening_transactions").cast(RATE) / F.col("transactions").cast(RATE))
 
@@ -139,7 +143,7 @@ def premium_customers(summary: DataFrame) -> DataFrame:
 
 
 def customers_by_place(summary: DataFrame) -> DataFrame:
-    return summary.groupBy("country", "city", "age_group").agg(ROWS.alias("customers"))
+    return summary.groupBy("country", "city", "age_group").agg(_rows().alias("customers"))
 
 
 def young_earners(summary: DataFrame, income_over: int) -> DataFrame:
@@ -151,7 +155,7 @@ def young_earners(summary: DataFrame, income_over: int) -> DataFrame:
 def geography_rollup(geography: DataFrame) -> DataFrame:
     """Branch counts per region and city, per region, and in total."""
     return geography.rollup("region_name", "city_name").agg(
-        ROWS.alias("branches"), F.grouping_id().cast("int").alias("rollup_level"))
+        _rows().alias("branches"), F.grouping_id().cast("int").alias("rollup_level"))
 
 
 def expiring_cards(cards: DataFrame, as_of: Column, days: int) -> DataFrame:
@@ -179,7 +183,7 @@ def merchant_performance(facts: DataFrame, merchants: DataFrame) -> DataFrame:
     # Sum per merchant first: the shuffle to the merchant table carries one row
     # per merchant and map task, however many transactions a merchant has.
     per_merchant = facts.where(F.col("merchant_id").isNotNull()).groupBy("merchant_id").agg(
-        ROWS.alias("n"), F.sum("amount").alias("s"))
+        _rows().alias("n"), F.sum("amount").alias("s"))
     return per_merchant.join(category, "merchant_id").groupBy("kategorie").agg(
         F.count("merchant_id").alias("merchants"), F.sum("n").alias("transactions"),
         F.sum("s").cast(VOLUME).alias("total_volume"))

@@ -25,7 +25,7 @@ from ..operators.quality import good_records
 from ..operators.scd2 import scd2, with_timestamps
 from ..plans.silver import flagged_snapshot, untracked_columns
 from ..schemas import END, HISTORY_KEYS, INGESTED, QUARANTINED, SNAPSHOT, START, bronze_schema
-from ..sources.tables import path_of, stream_table
+from ..sources.tables import path_of, sized_for_writing, stream_table
 from .feeds import checkpoint_of
 
 LOG_BUCKETS = 64
@@ -56,7 +56,8 @@ class HistoryFeed:
 
     def take(self, rows: DataFrame, batch: int) -> None:
         bucket = F.pmod(F.xxhash64(*self.keys), F.lit(LOG_BUCKETS)).cast("int")
-        (rows.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket")
+        (sized_for_writing(rows.withColumn("bucket", bucket), ["bucket"])
+         .write.mode("overwrite").partitionBy("bucket")
          .parquet(f"{self.root}/log/batch={batch}"))
         log = self._log(batch)
         arrived = log.where(F.col("batch") == batch).drop("batch", "bucket")
