@@ -512,7 +512,8 @@ def young_earners(spark, sf_dir):
 @query
 def expiring_cards(spark, sf_dir):
     as_of = F.lit("2001-01-01").cast("date")
-    return reports.expiring_cards(current(Bank(spark, sf_dir).dimension("cards")), as_of, 90)
+    return reports.expiring_cards(
+        Bank(spark, sf_dir).current("cards", ["account_id", "platnost_do"]), as_of, 90)
 
 
 @query

@@ -43,7 +43,7 @@ def asof_join(
     if hot is None:
         found = _last_opened(line, keys)
     else:
-        crowded, rest = split_hot(line, cut_lineage(hot), keys)
+        crowded, rest = split_hot(line, hot, keys)
         found = _last_opened(rest, keys).unionByName(
             _last_opened_in_slices(cut_lineage(crowded), keys, hot_rows))
 

@@ -13,11 +13,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..config import cut_lineage
+
 #: Rows one key may hold before its windows are sliced.
 HOT_ROWS = 2_000_000
 #: Most slices cut; a slice of the hot rows is at most this fraction of them.
 MAX_SLICES = 2048
 
+#: Most hot keys sent to every executor; above, they are joined by shuffle.
+MAX_BROADCAST_KEYS = 100_000
+
 SLICE = "_slice"
 
 
@@ -31,11 +36,16 @@ def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) ->
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
     """Keys with more than ``hot_rows`` rows, or None when there are none.
 
-    Reads the key columns only; the count is combined before the shuffle.
+    Reads the key columns only; the count is combined before the shuffle. There
+    are at most ``rows / hot_rows`` such keys; they are kept as a small table
+    and broadcast while their number is below a fixed bound.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     hot = counts.where(F.col("_rows") > hot_rows).select(*keys)
-    return None if hot.isEmpty() else hot
+    if hot.isEmpty():
+        return None
+    hot = cut_lineage(hot)
+    return F.broadcast(hot) if hot.count() <= MAX_BROADCAST_KEYS else hot
 
 
 def split_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:

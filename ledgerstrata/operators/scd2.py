@@ -42,7 +42,6 @@ def scd2(
     hot = hot_keys(rows, keys, hot_rows) if hot_rows is not None else None
     if hot is None:
         return plan.versions(rows)
-    hot = cut_lineage(hot)
     crowded, rest = split_hot(rows, hot, keys)
     return plan.versions(rest).unionByName(plan.versions_in_slices(crowded, hot_rows))
 

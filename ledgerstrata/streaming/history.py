@@ -69,10 +69,14 @@ class HistoryFeed:
         late.write.mode("overwrite").parquet(f"{self.root}/late/batch={batch}")
         late = self.spark.read.schema(late.schema).parquet(f"{self.root}/late/batch={batch}")
 
-        versions = self._continued(
-            join_on(standing, late, self.keys, "left_anti"),
-            join_on(arrived, late, self.keys, "left_anti"),
-        ).unionByName(self._rebuilt(log, late, bucket))
+        # At most LOG_BUCKETS numbers reach the driver; they prune the log's folders.
+        late_buckets = [r[0] for r in late.select(bucket.alias("b")).distinct().collect()]
+        if late_buckets:
+            standing, arrived = (join_on(side, late, self.keys, "left_anti") for side in (standing, arrived))
+        versions = self._continued(standing, arrived)
+        if late_buckets:
+            versions = versions.unionByName(
+                self._rebuilt(log.where(F.col("bucket").isin(late_buckets)), late))
         (versions.withColumn("is_open", F.col(END).isNull())
          .write.mode("overwrite").partitionBy("is_open").parquet(f"{self.root}/versions/batch={batch}"))
         (self.spark.range(1).coalesce(1).write.mode("overwrite")
@@ -89,10 +93,9 @@ class HistoryFeed:
             INGESTED, F.lit(None).cast("timestamp"))
         return self._history(arrived.unionByName(began).unionByName(last_seen))
 
-    def _rebuilt(self, log: DataFrame, late: DataFrame, bucket) -> DataFrame:
-        """Histories of the late keys from all their rows; only their buckets are read."""
-        wanted = late.withColumn("bucket", bucket)
-        return self._history(join_on(log, wanted, [*self.keys, "bucket"], "left_semi").drop("batch", "bucket"))
+    def _rebuilt(self, log: DataFrame, late: DataFrame) -> DataFrame:
+        """Histories of the late keys from all their rows."""
+        return self._history(join_on(log, late, self.keys, "left_semi").drop("batch", "bucket"))
 
     def _log(self, batch: int) -> DataFrame:
         schema = T.StructType([*self.row_schema, T.StructField("batch", T.LongType()),
