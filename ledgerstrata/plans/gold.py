@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Settings
@@ -24,20 +24,35 @@ def card_owners(cards: DataFrame, owners: DataFrame) -> DataFrame:
     return cards.select("card_id", "account_id").join(owners, "account_id")
 
 
-def _place_names(rows: DataFrame, cities: DataFrame, regions: DataFrame) -> DataFrame:
-    """City and region named by the transaction itself; NULL where unknown.
+def paid_by_card(transactions: DataFrame, owners_of_cards: DataFrame) -> DataFrame:
+    """Card transactions of known owners.
 
-    Spark broadcasts either side as long as it is below its size threshold.
+    The dimension chain is joined beforehand, so the transactions, by far the
+    larger side, are shuffled once and not once per dimension. A card with very
+    many transactions is split at run time by the adaptive skew join.
     """
-    city = cities.select("city_id", F.col("nazev").alias("city_name"))
-    region = regions.select("region_id", F.col("nazev").alias("region_name"))
-    return rows.join(city, "city_id", "left").join(region, "region_id", "left")
+    return transactions.join(owners_of_cards, "card_id").withColumnRenamed(
+        "card_transaction_id", "transaction_id").withColumn("transaction_type", F.lit(CARD))
+
+
+def moved_on_account(transactions: DataFrame, owners: DataFrame) -> DataFrame:
+    """Account transactions of known owners; they have no card and no merchant."""
+    absent = F.lit(None).cast("string")
+    return transactions.join(owners, "account_id").withColumns(
+        {"card_id": absent, "merchant_id": absent, "transaction_type": F.lit(FINANCIAL)})
+
 
+def enriched(owned: DataFrame, cities: DataFrame, regions: DataFrame, settings: Settings) -> DataFrame:
+    """Add the names of the transaction's own city and region, and its segments.
 
-def _enriched(rows: DataFrame, kind: str, own: dict[str, Column], settings: Settings) -> DataFrame:
+    Spark broadcasts cities and regions as long as they are below its size
+    threshold, and joins them by shuffle otherwise.
+    """
+    city = cities.select("city_id", F.col("nazev").alias("city_name"))
+    region = regions.select("region_id", F.col("nazev").alias("region_name"))
+    placed = owned.join(city, "city_id", "left").join(region, "region_id", "left")
     happened = F.col("datum_ts") if settings.documented else F.col("datum")
     computed = {
-        "transaction_type": F.lit(kind),
         "transaction_date": F.col("datum"),
         "merchant_category": F.col("typ_transakce"),
         "city_name": F.coalesce("city_name", F.lit(UNKNOWN)),
@@ -47,34 +62,22 @@ def _enriched(rows: DataFrame, kind: str, own: dict[str, Column], settings: Sett
         "transaction_day_of_week": F.dayofweek("datum"),
         "transaction_month": F.month("datum"),
         "transaction_year": F.year("datum"),
-        **own,
     }
-    return rows.select(*(computed.get(c, F.col(c)).alias(c) for c in FACT_COLUMNS))
+    return placed.select(*(computed.get(c, F.col(c)).alias(c) for c in FACT_COLUMNS))
 
 
 def card_facts(
     transactions: DataFrame, owners_of_cards: DataFrame, cities: DataFrame, regions: DataFrame,
     settings: Settings,
 ) -> DataFrame:
-    """Card transactions of known owners.
-
-    The dimension chain is joined first, so the transactions, by far the larger
-    side, are shuffled once and not once per dimension.
-    """
-    owned = transactions.join(owners_of_cards, "card_id")
-    own = {"transaction_id": F.col("card_transaction_id")}
-    return _enriched(_place_names(owned, cities, regions), CARD, own, settings)
+    return enriched(paid_by_card(transactions, owners_of_cards), cities, regions, settings)
 
 
 def financial_facts(
     transactions: DataFrame, owners: DataFrame, cities: DataFrame, regions: DataFrame,
     settings: Settings,
 ) -> DataFrame:
-    """Account transactions of known owners; they have no card and no merchant."""
-    owned = transactions.join(owners, "account_id")
-    absent = F.lit(None).cast("string")
-    own = {"card_id": absent, "merchant_id": absent}
-    return _enriched(_place_names(owned, cities, regions), FINANCIAL, own, settings)
+    return enriched(moved_on_account(transactions, owners), cities, regions, settings)
 
 
 def transaction_facts(
@@ -87,9 +90,9 @@ def transaction_facts(
     settings: Settings,
 ) -> DataFrame:
     """All transactions with customer and place; duplicates are kept."""
-    by_card = card_facts(card_transactions, owners_of_cards, cities, regions, settings)
-    by_account = financial_facts(financial_transactions, owners, cities, regions, settings)
-    return by_card.unionByName(by_account)
+    owned = paid_by_card(card_transactions, owners_of_cards).unionByName(
+        moved_on_account(financial_transactions, owners))
+    return enriched(owned, cities, regions, settings)
 
 
 def business_metrics(facts: DataFrame, settings: Settings) -> DataFrame:

@@ -40,6 +40,13 @@ def stream_table(spark: SparkSession, settings: Settings, name: str) -> DataFram
     return spark.readStream.schema(schema).parquet(path_of(settings, name))
 
 
+def declare(spark: SparkSession, settings: Settings, name: str) -> None:
+    """Create a table empty, with its contract's columns, unless it has files."""
+    path = path_of(settings, name)
+    empty = spark.createDataFrame([], schema_of(spark, settings, name)).coalesce(1)
+    empty.write.mode("ignore").parquet(path)
+
+
 def sized_for_writing(df: DataFrame, partition_by: Iterable[str]) -> DataFrame:
     """Even out the files of a partitioned write; a crowded partition is split."""
     columns = [F.col(c) for c in partition_by]

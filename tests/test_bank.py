@@ -14,7 +14,7 @@ from ledgerstrata.operators.latest import latest_per_key, surplus_owners
 from ledgerstrata.operators.scd2 import current
 from ledgerstrata.plans import gold, monitors, reports, silver
 from ledgerstrata.schemas import HISTORY_KEYS, LANDING, bronze_schema
-from ledgerstrata.sources.tables import schema_of
+from ledgerstrata.sources.tables import declare, publish, read_table, schema_of, write_table
 
 AS_OF = dt.date(2024, 6, 30)
 NOW = Settings(as_of=AS_OF)
@@ -312,6 +312,17 @@ def test_published_columns(spark):
         assert all(order.index(i) < order.index(name) for i in table.inputs)
 
 
+def test_declared_table_is_empty_and_typed(spark, tmp_path):
+    settings = Settings(root=str(tmp_path), as_of=AS_OF, env="declared")
+    declare(spark, settings, "dim_cards")
+    assert read_table(spark, settings, "dim_cards").count() == 0
+    assert spark.table(publish(spark, settings, "dim_cards")).columns[-1] == "__END_AT"
+    cards = silver.dimension_from_bronze("cards", raw(spark, "cards", (bank.card("K", "A"), 1)), settings)
+    write_table(cards, settings, "dim_cards")
+    declare(spark, settings, "dim_cards")
+    assert read_table(spark, settings, "dim_cards").count() == 1
+
+
 def test_settings(spark):
     assert Settings(root="/x").path("silver", "t") == "/x/dev_silver/t"
     assert Settings(root="/x", env="").path("gold", "t") == "/x/gold/t"
