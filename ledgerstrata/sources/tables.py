@@ -34,10 +34,10 @@ def read_table(spark: SparkSession, settings: Settings, name: str) -> DataFrame:
     return reader.parquet(path_of(settings, name))
 
 
-def stream_table(spark: SparkSession, settings: Settings, name: str) -> DataFrame:
-    """Rows appended to a table, as a stream."""
-    schema = schema_of(spark, settings, name)
-    return spark.readStream.schema(schema).parquet(path_of(settings, name))
+def stream_table(spark: SparkSession, settings: Settings, name: str, max_files: int = 10_000) -> DataFrame:
+    """Rows appended to a table, as a stream; ``max_files`` bounds one micro-batch."""
+    reader = spark.readStream.schema(schema_of(spark, settings, name))
+    return reader.option("maxFilesPerTrigger", max_files).parquet(path_of(settings, name))
 
 
 def declare(spark: SparkSession, settings: Settings, name: str) -> None:
