@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import REFERENCE, Settings
-from ..functions import bands, lineage, text, values
+from ..functions import bands, lineage, text
 from ..operators import quality
 from ..operators.asof import asof_join
 from ..operators.latest import latest_per_key, surplus_owners
 from ..operators.scd2 import current, scd2, valid_at
 from ..plans import gold, monitors, reports, roles, silver
-from ..schemas import END, INGESTED, LANDING, SNAPSHOT, START
+from ..schemas import INGESTED, LANDING, SNAPSHOT
 
 #: Fixed reporting date, so that ages do not move with the clock.
 AS_OF = dt.date(2024, 6, 30)
@@ -62,7 +62,8 @@ class Bank(roles.Roles):
             self.current("customers", ["client_age", "prijem"]))
 
     def card_owners(self, owners: DataFrame | None = None) -> DataFrame:
-        return gold.card_owners(self.current("cards", ["account_id"]), owners or self.owners())
+        known = self.owners() if owners is None else owners
+        return gold.card_owners(self.current("cards", ["account_id"]), known)
 
     def places(self) -> list[DataFrame]:
         return [self.reference("cities"), self.reference("regions")]

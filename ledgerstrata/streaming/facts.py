@@ -8,7 +8,6 @@ tried again with the next batch.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..catalog import FACTS, METRICS, PERIOD

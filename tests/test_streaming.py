@@ -8,9 +8,9 @@ import bank
 from ledgerstrata.catalog import FACTS, METRICS, SUMMARY, TABLES
 from ledgerstrata.config import Settings
 from ledgerstrata.schemas import FACT_COLUMNS
-from ledgerstrata.sources.tables import compact, path_of, publish, read_table, refresh, reset, write_table
+from ledgerstrata.sources.tables import compact, path_of, publish, read_table, refresh, reset
 from ledgerstrata.streaming import feeds
-from ledgerstrata.streaming.facts import FactFeed, feed_root, read_feed
+from ledgerstrata.streaming.facts import FactFeed, read_feed
 from ledgerstrata.streaming.history import HistoryFeed
 from ledgerstrata.streaming.run import current_owners, run_round
 
@@ -87,6 +87,18 @@ def test_repeated_batch_replaces_its_rows(spark, rows_of, rounds):
     assert rows_of(feed.history()) == before
 
 
+def test_repeated_fact_batch_replaces_its_rows(spark, rows_of, rounds):
+    """The second batch of payments holds T4, and T3 that waited since the first."""
+    settings, _, _ = rounds
+    feed = FactFeed(spark, settings, "CARD", lambda: current_owners(spark, settings, "CARD"))
+    before = rows_of(read_feed(spark, settings, FACTS))
+    assert [r["card_transaction_id"] for r in feed.waiting(0).collect()] == ["T3"]
+    assert feed.waiting(1).count() == 0
+    payments = read_table(spark, settings, "card_transactions_silver")
+    feed.take(payments.where("card_transaction_id = 'T4'"), 1)
+    assert rows_of(read_feed(spark, settings, FACTS)) == before
+
+
 def test_good_and_bad_are_clean(spark, rounds):
     settings, _, _ = rounds
     for entity in ("customers", "accounts", "cards", "employees"):
