@@ -1 +1,8 @@
 """Operators for training corpora; nothing else in the library imports them."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to the executors by value, so they need no copy of it installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

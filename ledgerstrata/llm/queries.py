@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerstrata.llm import quotes, simhash_dedup, toxicity
+from ledgerstrata.llm import decontaminate, quotes, simhash_dedup, toxicity
 from ledgerstrata.llm.common import table
 
 QUERIES = {}
@@ -30,6 +30,11 @@ def toxicity_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op7_benchmark_decontamination")
+def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op8_chat_formatting", quotes.ORACLE_SQL)
 def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.formatted(table(spark, sf_dir, "conversations"))

@@ -192,14 +192,13 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     learned from. Label, language, source and id are no inputs of a score. Repeated rows
     are scored each; other columns are not read; an empty table gives no rows.
     """
-    machine = train(docs, labels)
-    shared = docs.sparkSession.sparkContext.broadcast(machine)  # at most TERMS x (FACTORS + 2) numbers
+    machine = train(docs, labels)  # sent to every task: at most TERMS x (FACTORS + 2) numbers
 
     def per_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        terms = _Terms(shared.value.terms)
+        terms = _Terms(machine.terms)
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "held_out": batch["held_out"],
-                                "score": [shared.value.score(terms.of(t)) for t in batch["text"]]})
+                                "score": [machine.score(terms.of(t)) for t in batch["text"]]})
 
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % FOLDS == 0, F.lit(True))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), F.col("text").cast("string").alias("text"))
@@ -209,12 +208,12 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are not predicted toxic, columns unchanged, without a join or shuffle."""
-    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
+    machine = train(docs, labels)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = _Terms(shared.value.terms)
+        terms = _Terms(machine.terms)
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            yield batch.filter(pa.array([shared.value.score(terms.of(t)) < 0.5 for t in texts], pa.bool_()))
+            yield batch.filter(pa.array([machine.score(terms.of(t)) < 0.5 for t in texts], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
