@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerstrata.llm import decontaminate, quotes, simhash_dedup, toxicity
+from ledgerstrata.llm import decontaminate, packing, quotes, simhash_dedup, toxicity
 from ledgerstrata.llm.common import table
 
 QUERIES = {}
@@ -20,6 +20,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op2_best_fit_packing")
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 @query("op3_simhash_near_dedup")
 def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.simhash_groups(table(spark, sf_dir, "documents"))
