@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerstrata.llm import decontaminate, packing, quotes, simhash_dedup, toxicity
+from ledgerstrata.llm import decontaminate, fuzzy_lines, packing, quotes, simhash_dedup, toxicity
 from ledgerstrata.llm.common import table
 
 QUERIES = {}
@@ -43,3 +43,8 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_chat_formatting", quotes.ORACLE_SQL)
 def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.formatted(table(spark, sf_dir, "conversations"))
+
+
+@query("op9_line_dedup")
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_lines.line_dedup_report(table(spark, sf_dir, "documents"))
