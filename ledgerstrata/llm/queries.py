@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerstrata.llm import decontaminate, fuzzy_lines, packing, quotes, simhash_dedup, toxicity
+from ledgerstrata.llm import decontaminate, fuzzy_lines, packing, projection, quotes, simhash_dedup, toxicity
 from ledgerstrata.llm.common import table
 
 QUERIES = {}
@@ -20,6 +20,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_embedding_near_dedup")
+def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projection.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query("op2_best_fit_packing")
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
