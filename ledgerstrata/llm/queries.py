@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerstrata.llm import decontaminate, fuzzy_lines, packing, projection, quotes, simhash_dedup, toxicity
+from ledgerstrata.llm import decontaminate, edit_counts, fuzzy_lines, packing, projection, quotes, simhash_dedup, toxicity
 from ledgerstrata.llm.common import table
 
 QUERIES = {}
@@ -35,6 +35,12 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.simhash_groups(table(spark, sf_dir, "documents"))
 
 
+@query("op4_token_counts")
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = edit_counts.with_redactions(table(spark, sf_dir, "documents"))
+    return edit_counts.count_edited(docs).drop("tree")
+
+
 @query("op5_toxicity")
 def toxicity_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
