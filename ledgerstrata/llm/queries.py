@@ -4,7 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerstrata.llm import decontaminate, edit_counts, fuzzy_lines, packing, projection, quotes, simhash_dedup, toxicity
+from ledgerstrata.llm import (
+    compact_windows,
+    decontaminate,
+    edit_counts,
+    fuzzy_lines,
+    packing,
+    projection,
+    quotes,
+    simhash_dedup,
+    toxicity,
+)
 from ledgerstrata.llm.common import table
 
 QUERIES = {}
@@ -59,3 +69,8 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_line_dedup")
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuzzy_lines.line_dedup_report(table(spark, sf_dir, "documents"))
+
+
+@query("op10_substring_dedup")
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compact_windows.repeated_passages(table(spark, sf_dir, "documents"))
