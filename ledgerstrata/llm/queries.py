@@ -10,6 +10,7 @@ from ledgerstrata.llm import (
     edit_counts,
     fuzzy_lines,
     packing,
+    prefix_parse,
     projection,
     quotes,
     simhash_dedup,
@@ -56,6 +57,11 @@ def toxicity_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op6_suffix_dedup")
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_parse.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query("op7_benchmark_decontamination")
 def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
