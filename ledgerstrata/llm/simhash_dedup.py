@@ -133,5 +133,5 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     keep = (simhash_groups(docs, id_col, text_col).where(F.col(id_col) == F.col("component_id"))
             .select(F.col(id_col).alias("_keep")).distinct())
-    one = docs.join(keep, docs[id_col] == F.col("_keep"), "left_semi").dropDuplicates([id_col])
+    one = docs.join(keep, docs[id_col] == keep["_keep"], "left_semi").dropDuplicates([id_col])
     return one.unionByName(docs.where(F.col(id_col).isNull()))

@@ -1,0 +1,458 @@
+"""Corpus operators against plain Python versions, and on awkward rows."""
+
+import collections
+import hashlib
+import random
+import sys
+import zlib
+from pathlib import Path
+
+import duckdb
+import numpy as np
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+import brute  # noqa: E402
+
+from ledgerstrata.llm import (  # noqa: E402
+    compact_windows,
+    decontaminate,
+    edit_counts,
+    fuzzy_lines,
+    packing,
+    prefix_parse,
+    projection,
+    quotes,
+    simhash_dedup,
+    toxicity,
+)
+from ledgerstrata.llm.common import connected_components  # noqa: E402
+from ledgerstrata.llm.tokens import Encoder  # noqa: E402
+
+#: Columns beside the documents' own, named like columns that operators use inside.
+EXTRA = ", node string, fp string, row int, key int, words string, _id int, spans string, length int, a int, b int"
+DOCS = "doc_id long, text string"
+
+
+def words(rng, n, size=400):
+    return [f"w{rng.randrange(size)}x" for _ in range(n)]
+
+
+def sentence(rng, n):
+    return " ".join(words(rng, n))
+
+
+def documents(spark, rows, extra=True):
+    if extra:
+        return spark.createDataFrame([(*r, "n", "f", 1, 2, "w", 3, "s", 4, 5, 6) for r in rows], DOCS + EXTRA)
+    return spark.createDataFrame(rows, DOCS)
+
+
+@pytest.fixture(scope="module")
+def awkward():
+    rng = random.Random(4)
+    base = sentence(rng, 300)
+    long = "\n".join(sentence(rng, 30) for _ in range(700))
+    near = base.replace(base.split()[150], "otherword", 1)
+    return [(1, base), (2, None), (3, ""), (4, " \n\t"), (5, base), (6, near), (7, long), (8, "one two"), (9, "One  two"),
+            (10, "é ü ñ " + base[:900]), (11, base + "\n" + base), (5, base), (None, base), (None, "lonely words here")]
+
+
+def test_components_are_smallest_reachable_node(spark, rows_of):
+    rng = random.Random(1)
+    pairs = [(rng.randrange(120), rng.randrange(120)) for _ in range(90)] + [(500, n) for n in range(501, 560)] + [(n, n + 1) for n in range(600, 640)]
+    pairs += [(7, 7), (None, 3)]
+    got = dict(rows_of(connected_components(spark.createDataFrame(pairs, "a int, b int"))))
+    links = {frozenset(p) for p in pairs if None not in p}
+    want = brute.components(sorted({n for p in links if len(p) == 2 for n in p}), lambda a, b: frozenset((a, b)) in links)
+    assert got == want
+
+
+# 1 ------------------------------------------------------------------ vectors
+
+
+def vector_rows():
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(size=16)], i % 3) for i in range(60)]
+    for i in range(60, 200):
+        centre = np.array(rows[i % 4][1])
+        rows.append((i, [float(x) for x in centre + rng.normal(scale=0.12, size=16)], i % 4 % 3))
+    rows += [(200, rows[0][1], 0), (201, rows[0][1], 0), (201, rows[0][1], 0), (202, rows[0][1], None), (203, None, 1), (204, [0.0] * 16, 1),
+             (205, [None] + [1.0] * 15, 1), (206, [float("nan")] + [1.0] * 15, 1), (207, [1e300] * 16, 2), (208, [2e300] * 16, 2),
+             (209, [1.0, 2.0], 2), (210, [], 2), (None, rows[0][1], 0)]
+    return rows
+
+
+@pytest.mark.parametrize("tile", [1024, 16])
+def test_vectors_match_brute_force(spark, monkeypatch, tile):
+    monkeypatch.setattr(projection, "TILE", tile)
+    monkeypatch.setattr(projection, "BLOCK", 32)
+    rows = vector_rows()
+    df = spark.createDataFrame([(*r, 1, 2) for r in rows], "vec_id long, embedding array<double>, label int, node int, space int")
+    got = projection.near_vectors(df).collect()
+    assert len(got) == len(rows)
+    sound = {}
+    for i, v, label in rows:
+        if i is not None and label is not None and v and None not in v and np.isfinite(v).all() and np.any(v):
+            u = np.array(v) / np.abs(v).max()
+            sound[i] = (label, len(v), u / np.linalg.norm(u))
+
+    def linked(a, b):
+        x, y = sound[a], sound[b]
+        return x[:2] == y[:2] and float(x[2] @ y[2]) >= projection.THRESHOLD
+
+    groups = brute.components(sound, linked)
+    for r in got:
+        if r.vec_id in sound:
+            assert r.n_links == sum(linked(r.vec_id, o) for o in sound if o != r.vec_id), r
+            assert r.component_id == groups[r.vec_id] and r.kept == (r.component_id == r.vec_id)
+        else:
+            assert (r.n_links, r.component_id, r.kept) == (0, r.vec_id, True)
+
+
+def test_no_vectors(spark):
+    assert projection.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).collect() == []
+
+
+# 2 ------------------------------------------------------------------ packing
+
+
+def test_plans_place_every_piece_once():
+    rng = random.Random(3)
+    for _ in range(200):
+        capacity = rng.choice([10, 17, 64, 2048])
+        sizes = [rng.randint(1, capacity) if rng.random() < 0.5 else rng.randint(1, max(1, capacity // 5)) for _ in range(rng.randint(0, 300))]
+        counts = collections.Counter(sizes)
+        plan = packing.plan_packing(counts, capacity)
+        bins, placed = collections.defaultdict(list), collections.Counter()
+        for length, first, pieces, each, sequence, offset in zip(*(plan[k].tolist() for k in ("length", "first", "pieces", "each", "sequence", "offset"))):
+            assert first == placed[length]
+            placed[length] += pieces
+            for i in range(pieces):
+                bins[sequence + i // each].append((offset + i % each * length, length))
+        assert +placed == counts
+        for pieces in bins.values():
+            at = 0
+            for offset, length in sorted(pieces):
+                assert offset == at
+                at += length
+            assert at <= capacity
+        large = sum(n for size, n in counts.items() if 2 * size > capacity)
+        assert max(-(-sum(sizes) // capacity), large) <= len(bins) <= 1.25 * max(-(-sum(sizes) // capacity), large) + 1
+
+
+def test_packed_ids_are_those_of_the_tokenizer(spark, awkward):
+    rows = [*awkward, (20, "tabs\tand <|endoftext|> 漢字   it's ０１２ \x1c\x85")]
+    got = packing.pack_documents(documents(spark, rows), keep_ids=True).collect()
+    slow = Encoder().slow
+    by_id = collections.defaultdict(list)
+    for r in got:
+        by_id[r.doc_id].append(r)
+    for doc_id, text in rows:
+        ids = [*slow.encode(text or "", add_special_tokens=False).ids, 0]
+        pieces = [r for r in by_id[doc_id] if list(r.ids) == ids[r.start:r.start + r.length]]
+        assert sum(r.length for r in pieces) >= len(ids)
+        for r in pieces:
+            assert r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes()) and (r.piece == 0 or r.length == packing.CAPACITY)
+    bins = collections.defaultdict(list)
+    for r in got:
+        bins[r.sequence_id].append((r.offset, r.length))
+    for pieces in bins.values():
+        pieces.sort()
+        assert [o for o, _ in pieces] == [sum(n for _, n in pieces[:i]) for i in range(len(pieces))]
+        assert sum(n for _, n in pieces) <= packing.CAPACITY
+    assert sum(r.length for r in got) == sum(len(slow.encode(t or "", add_special_tokens=False).ids) + 1 for _, t in rows)
+
+
+def test_nothing_to_pack(spark):
+    assert packing.pack_documents(spark.createDataFrame([], DOCS)).collect() == []
+
+
+# 3 ------------------------------------------------------------------ SimHash
+
+
+def test_simhash_groups_match_brute_force(spark, awkward):
+    rng = random.Random(8)
+    crowd = words(rng, 400)
+    rows = list(awkward)
+    for i in range(60):
+        changed = list(crowd)
+        for _ in range(i % 3):
+            changed[rng.randrange(400)] = f"z{i}"
+        rows.append((100 + i, " ".join(changed)))
+    got = simhash_dedup.simhash_groups(documents(spark, rows)).collect()
+    assert len(got) == len(rows)
+    fps = {brute.simhash(t) for _, t in rows}
+    group = brute.components(sorted(fps), lambda a, b: (a ^ b).bit_count() <= 3)
+    smallest = {}
+    for doc_id, text in rows:
+        if doc_id is not None:
+            root = group[brute.simhash(text)]
+            smallest[root] = min(smallest.get(root, doc_id), doc_id)
+    want = collections.Counter((i, f"{brute.simhash(t):016x}", smallest.get(group[brute.simhash(t)])) for i, t in rows)
+    assert collections.Counter((r.doc_id, r.fingerprint, r.component_id) for r in got) == want
+    kept = simhash_dedup.drop_near_copies(documents(spark, rows))
+    assert kept.columns == documents(spark, rows).columns
+    assert sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == sorted(set(smallest.values()))
+
+
+def test_no_fingerprints(spark):
+    assert simhash_dedup.simhash_groups(spark.createDataFrame([], DOCS)).collect() == []
+
+
+# 4 ------------------------------------------------------------------ token counts
+
+
+@pytest.mark.parametrize("leaf", [4, 64])
+def test_edited_counts_equal_full_counts(monkeypatch, leaf):
+    monkeypatch.setattr(edit_counts, "LEAF", leaf)
+    rng, encoder = random.Random(5), Encoder()
+    counter = edit_counts.Counter(encoder)
+    alphabet = [*"ab' s  \n\n\t1.,!éü", "'s", "'ll", " the", "\n\n "]
+    for trial in range(250):
+        text = "".join(rng.choice(alphabet) for _ in range(rng.choice([0, 1, 5, 60, 400, 2000])))
+        tree = edit_counts.TokenTree.of_text(text, counter)
+        for _ in range(5):
+            start, removed = rng.randint(-2, len(text) + 3), rng.choice([0, 1, 2, 10, 100])
+            inserted = "".join(rng.choice(alphabet) for _ in range(rng.choice([0, 1, 3, 30, 300])))
+            tree, text, _ = edit_counts.apply_edit(tree, text, start, removed, inserted, counter)
+            assert tree.chars[1] == len(text) and tree.tokens[1] == len(encoder.ids(text)), trial
+
+
+def test_edited_documents(spark):
+    rng = random.Random(6)
+    long = sentence(rng, 3000)
+    rows = [(1, "mail me at a.b@c.example now", None), (2, None, [(0, 5, "new text")]), (3, "", []), (4, long, [(100, 7, "x"), None, (5, 0, None), (10**6, 3, " end")]),
+            (4, long, [(None, None, "start ")]), (None, "abc", [(1, 1, "")])]
+    df = spark.createDataFrame([(*r, 1) for r in rows], f"doc_id long, text string, edits {edit_counts.EDITS}, tree int")
+    trees = edit_counts.token_trees(df).where("doc_id <> 1")
+    slow = Encoder().slow
+    for stored in (None, trees):
+        got = edit_counts.count_edited(df, stored).collect()
+        want = []
+        for doc_id, text, edits in rows:
+            after = text or ""
+            for e in edits or []:
+                if e:
+                    at = min(e[0] or 0, len(after))
+                    after = after[:at] + (e[2] or "") + after[at + (e[1] or 0):]
+            count = [len(slow.encode(t, add_special_tokens=False).ids) for t in (text or "", after)]
+            want.append((doc_id, len([e for e in edits or [] if e]), *count, len(after)))
+        assert sorted(((r.doc_id, r.n_edits, r.tokens_before, r.tokens_after, r.chars_after) for r in got), key=repr) == sorted(want, key=repr)
+        far = next(r for r in got if r.doc_id == 4 and r.n_edits == 3)
+        assert far.chars_recounted < len(long) / 5
+    redacted = edit_counts.with_redactions(df.drop("edits")).where("doc_id = 1").first()
+    assert [tuple(e) for e in redacted.edits] == [(11, 13, "<EMAIL>")]
+    assert edit_counts.count_edited(df.limit(0)).collect() == []
+
+
+# 5 ------------------------------------------------------------------ toxicity
+
+
+def test_machine_learns_pairs():
+    rng = random.Random(2)
+    rows = []
+    for _ in range(600):
+        insult, group = rng.random() < 0.5, rng.random() < 0.5
+        terms = ([0] if insult else []) + ([1] if group else []) + [2 + rng.randrange(10)]
+        rows.append((np.array(sorted(terms)), int(insult and group)))
+    machine = toxicity.fit_machine(np.arange(12), rows)
+    assert all((machine.score(t.tolist()) >= 0.5) == bool(y) for t, y in rows)
+
+
+def test_scores_find_held_out_toxic_texts(spark):
+    rng = random.Random(9)
+    rows, labels = [], []
+    for i in range(600):
+        toxic = i % 4 == 0
+        text = words(rng, 40)
+        if toxic:
+            text[rng.randrange(40)] = rng.choice(["vileword", "stemawful" + rng.choice("abcdefgh"), "rottenness"])
+        rows.append((i, " ".join(text)))
+        labels.append((i, int(toxic), 1))
+    rows += [(1000, None), (1001, ""), (None, "vileword"), (1002, "vileword " * 3 + sentence(rng, 5000))]
+    labels += [(3, None, 1), (None, 1, 1), (1, 0, 1)]
+    labelled = spark.createDataFrame(labels, "doc_id long, toxic int, text int")
+    docs = documents(spark, rows)
+    got = toxicity.toxicity_scores(docs, labelled).collect()
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got if r.doc_id is not None)
+    held = [r for r in got if r.held_out and r.doc_id is not None and r.doc_id < 600]
+    assert len(held) > 80 and sum(r.predicted == (r.doc_id % 4 == 0) for r in held) / len(held) > 0.97
+    by_id = {r.doc_id: r.predicted for r in got}
+    assert (by_id[1000], by_id[1001], by_id[None], by_id[1002]) == (0, 0, 1, 1)
+    kept = toxicity.drop_toxic(docs, labelled)
+    assert kept.schema == docs.schema
+    assert sorted(r.doc_id for r in kept.where("doc_id is not null").collect()) == sorted(i for i, p in by_id.items() if i is not None and not p)
+    none = toxicity.toxicity_scores(docs.limit(3), labelled.limit(0)).collect()
+    assert [r.predicted for r in none] == [0, 0, 0]
+    assert toxicity.toxicity_scores(docs.limit(0), labelled).collect() == []
+
+
+# 6 ------------------------------------------------------------------ repeated strings
+
+
+@pytest.mark.parametrize("crowd", [2000, 1])
+def test_repeats_match_brute_force(spark, monkeypatch, awkward, crowd):
+    monkeypatch.setattr(prefix_parse, "CROWD", crowd)
+    rng = random.Random(12)
+    shared = sentence(rng, 150)
+    rows = [r for r in awkward if r[0] is not None] + [(30 + i, sentence(rng, 30) + shared[: 420 + 40 * i] + sentence(rng, 20)) for i in range(8)]
+    rows += [(50, "a" * 1300), (51, "xy" * 500 + sentence(rng, 10)), (52, "é" * 450), (53, shared[:399]), (54, shared[-400:])]
+    got = prefix_parse.remove_repeats(documents(spark, rows), keep_text=True).collect()
+    texts = {(i, n): (t or "").encode() for n, (i, t) in enumerate(rows)}
+    kept = brute.kept_bytes(texts, prefix_parse.MATCH)
+    want = collections.Counter((i, len(texts[i, n]), kept[i, n][1], kept[i, n][2], hashlib.sha256(kept[i, n][0]).hexdigest()) for i, n in texts)
+    assert collections.Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == want
+    assert all(len(r.kept) == r.n_bytes - r.n_removed for r in got)
+
+
+def test_parse_does_not_depend_on_chunks(monkeypatch):
+    rng = random.Random(1)
+    text = sentence(rng, 900).encode()
+    whole = {i: t for t, a, b in prefix_parse.phrases_of(text) for i in range(a, b + 1)}
+    monkeypatch.setattr(prefix_parse, "STRINGS_AT_ONCE", 700)
+    assert {i: t for t, a, b in prefix_parse.phrases_of(text) for i in range(a, b + 1)} == whole
+    assert prefix_parse.remove_repeats is not None and sorted(whole) == list(range(len(text) - prefix_parse.MATCH + 1))
+
+
+def test_no_repeats(spark):
+    assert prefix_parse.remove_repeats(spark.createDataFrame([], DOCS)).collect() == []
+
+
+# 7 ------------------------------------------------------------------ benchmark leaks
+
+
+def test_leaks_match_brute_force(spark, awkward):
+    rng = random.Random(7)
+    items = [(i, f"Question {sentence(rng, 20 + 9 * i)}? {sentence(rng, 6)}.") for i in range(25)]
+    items += [(100, None), (101, ""), (102, "..."), (None, "no id"), (103, sentence(rng, 700)), (0, items[0][1])]
+    rows = list(awkward)
+    for i in range(60):
+        text = items[i % 25][1]
+        if i % 3 == 1:
+            text = text.upper().replace(" ", " \n ")
+        if i % 3 == 2:
+            text = " ".join(w if n % 4 else "changed" for n, w in enumerate(text.split()))
+        rows.append((200 + i, sentence(rng, rng.randrange(200)) + " " + text + " " + sentence(rng, rng.randrange(200))))
+    rows.append((300, sentence(rng, 50) + " " + items[-2][1] + " tail"))
+    table = spark.createDataFrame([(*r, 1) for r in items], "item_id long, text string, part int")
+    docs = documents(spark, rows)
+    got = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, table).collect()}
+    want = set()
+    for doc_id, text in rows:
+        there = decontaminate.shingles(decontaminate.words_of(text))
+        for item, own in items:
+            parts = decontaminate.shingles(decontaminate.words_of(own))
+            if item is not None and parts and len(parts & there) >= decontaminate.OVERLAP * len(parts):
+                want.add((doc_id, item))
+    assert want <= got and {p for p in got if p not in want} == set()
+    kept = decontaminate.drop_leaks(docs, table)
+    assert kept.schema == docs.schema
+    assert collections.Counter(r.doc_id for r in kept.collect()) == collections.Counter(i for i, _ in rows if i not in {d for d, _ in got})
+    assert decontaminate.find_leaks(docs, table.limit(0)).collect() == [] and decontaminate.find_leaks(docs.limit(0), table).collect() == []
+    assert decontaminate.drop_leaks(docs, table.limit(0)).count() == len(rows)
+
+
+# 8 ------------------------------------------------------------------ quotes
+
+TALKS = [
+    (1, 0, "user", "Hello there\nSecond line of text"), (1, 1, "assistant", "On Mon, Bob wrote:\n> Hello   there\n> second line of text\nMy reply\nmore"),
+    (1, 2, "user", "> My reply\n>> hello there\nok so"), (1, 2, "user", "> My reply\n>> hello there\nok so"), (1, 3, None, "> nothing known\r\n> > >deep\nend"),
+    (2, 0, "user", None), (2, 1, "user", ""), (2, 2, "user", ">ok so"), (None, 0, "user", "Hello there"), (None, 1, "u", "> hello there"),
+    (3, None, "u", "abc"), (3, 1, "u", "> abc"), (4, 0, "a", "x"), (4, 1, "a", "> x\ny"), (4, 2, "a", "> y\nz"), (4, 3, "a", ">z\nw"),
+    (4, 4, "b", "> w\n> x"), (4, 4, "b", "> x\nother"), (5, 0, "a", "long " * 20_000), (5, 1, "b", "> " + "long " * 20_000),
+]
+
+
+def test_quotes_match_sql(spark, rows_of):
+    duck = duckdb.connect()
+    duck.execute("CREATE TABLE conversations(conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    duck.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", TALKS)
+    answer = duck.execute(quotes.ORACLE_SQL)
+    columns = [d[0] for d in answer.description]
+    talks = spark.createDataFrame([(*r, 1, 2, 3) for r in TALKS], "conv_id long, turn long, role string, text string, key int, line int, thread int")
+    got = rows_of(quotes.formatted(talks), *columns)
+    assert got == sorted(answer.fetchall(), key=repr)
+    by_turn = {(r[0], r[2], r[4]): (r[1], r[5]) for r in got}
+    assert by_turn[4, 3, "w"] == (0, 2) and by_turn[1, 2, "ok so"] == (0, 1) and by_turn[5, 1, ""] == (0, 0)
+    assert quotes.formatted(talks.limit(0)).collect() == []
+
+
+# 9 ------------------------------------------------------------------ lines
+
+
+@pytest.mark.parametrize("lane", [16_383, 20])
+def test_lines_match_brute_force(spark, monkeypatch, lane):
+    monkeypatch.setattr(fuzzy_lines, "LANE_WORDS", lane)
+    rng = random.Random(15)
+    lines = [words(rng, n) for n in (3, 5, 9, 12, 20, 40, 60, 90) for _ in range(4)]
+    texts = {}
+    for i in range(60):
+        own = []
+        for _ in range(rng.randrange(1, 6)):
+            line = list(rng.choice(lines)) if rng.random() < 0.7 else words(rng, 30)
+            if rng.random() < 0.5:
+                line[rng.randrange(len(line))] = f"v{rng.randrange(40)}"
+            own.append(", ".join(line).capitalize() + rng.choice([".", "!", ""]))
+        texts[i] = "\n".join(own)
+    texts |= {70: None, 71: "", 72: "\n\n \n", 73: texts[0], 74: " ".join(words(rng, 3000)), 75: "Straße ÉCOLE naïve façade über"}
+    docs = documents(spark, [*texts.items(), (73, texts[73])])
+    want = brute.removed_lines(texts)
+    got = fuzzy_lines.line_dedup_report(docs).collect()
+    assert len(got) == len(texts) + 1
+    for r in got:
+        assert (r.removed_lines, r.n_removed, r.n_lines) == (want[r.doc_id], len(want[r.doc_id]), len((texts[r.doc_id] or "").split("\n"))), r
+    kept = {r.doc_id: r.text for r in fuzzy_lines.drop_repeated_lines(docs).collect()}
+    for i, text in texts.items():
+        if not want[i]:
+            assert kept[i] == text
+        else:
+            left = [x for n, x in enumerate(text.split("\n")) if n not in want[i]]
+            assert kept.get(i) == ("\n".join(left) if any(x.strip() for x in left) else None)
+
+
+def test_no_lines_and_null_ids(spark):
+    assert fuzzy_lines.line_dedup_report(spark.createDataFrame([], DOCS)).collect() == []
+    same = "six words make up this line"
+    got = fuzzy_lines.line_dedup_report(documents(spark, [(None, same), (1, same)])).collect()
+    assert {r.doc_id: r.removed_lines for r in got} == {None: [], 1: [0]}
+
+
+# 10 ----------------------------------------------------------------- passages
+
+
+def test_repeated_passages(spark):
+    rng = random.Random(21)
+
+    def fresh(n):
+        return [f"u{rng.randrange(10**9)}" for _ in range(n)]
+
+    exact, near, line = fresh(51), fresh(120), fresh(12)
+    changed = list(near)
+    changed[60] = "other"
+    rows = [(i, fresh(80) + exact + fresh(40)) for i in range(6)]
+    rows += [(10, fresh(30) + near + fresh(200)), (11, fresh(100) + changed), (12, fresh(300) + line + fresh(90)), (13, line + fresh(90))]
+    rows += [(14, fresh(200)), (15, exact + fresh(60) + exact)]
+    rows = [(i, " ".join(w)) for i, w in rows] + [(20, None), (21, ""), (22, "short text"), (None, " ".join(fresh(30) + exact)), (14, rows and " ".join(rows[14 - 4][1]))]
+    rows.append((0, rows[0][1]))
+    got = compact_windows.repeated_passages(documents(spark, rows)).collect()
+    places = collections.defaultdict(list)
+    for r in got:
+        places[r.doc_id].append((r.first_word, r.n_words, r.component_id))
+    assert set(places) == {0, 1, 2, 3, 4, 5, 10, 11, 15, None}
+    assert places[2] == [(80, 51, 0)] and sorted(places[15]) == [(0, 51, 0), (111, 51, 0)] and places[None] == [(30, 51, 0)]
+    assert places[10] == [(30, 120, 10)] and places[11] == [(100, 120, 10)]
+    assert sum(r.kept for r in got if r.component_id == 10) == 1
+    assert compact_windows.repeated_passages(spark.createDataFrame([], DOCS)).collect() == []
+
+
+def test_compact_groups_are_window_minima(monkeypatch):
+    rng = random.Random(2)
+    tokens = compact_windows.tokens_of(sentence(rng, 500))
+    salted = compact_windows._mixed(tokens, 1) & ~np.uint64((1 << 24) - 1)
+    found = compact_windows.window_minima(tokens, 1)
+    assert all(found[i] == i + int(np.argmin(salted[i:i + compact_windows.WINDOW])) for i in range(len(found)))
+    whole = np.concatenate(compact_windows.compact_groups(tokens), axis=1)
+    assert (whole[2] - whole[1] + 1).sum() == compact_windows.TABLES * len(found)
