@@ -297,8 +297,8 @@ ORACLE: dict[str, str] = {
                ELSE strftime(o_orderdate, '%Y.%m.%d') END || '/part.csv' AS source_file,
              CASE WHEN o_orderkey % 11 <> 0 AND o_orderkey % 7 <> 0
                   THEN CAST(o_orderdate AS DATE) END AS snapshot_date FROM orders""",
-    "card_transactions_silver": _ask("SELECT * EXCLUDE (ts) FROM tx_card"),
-    "financial_transactions_silver": _ask("SELECT * EXCLUDE (ts) FROM tx_financial"),
+    "card_transactions_silver": _ask("SELECT * RENAME (ts AS datum_ts) FROM tx_card"),
+    "financial_transactions_silver": _ask("SELECT * RENAME (ts AS datum_ts) FROM tx_financial"),
     "account_balances_silver": _ask("SELECT * FROM balances"),
     "reference_tables": """
       SELECT 'merchants' AS entity, CAST(p_partkey AS VARCHAR) AS id, p_name AS nazev, p_type AS kategorie FROM part
@@ -323,6 +323,18 @@ ORACLE: dict[str, str] = {
     "bad_records": _ask(
         "SELECT * EXCLUDE (ord, is_quarantined) FROM clean_accounts WHERE is_quarantined"),
     "scd2_history": _ask("SELECT * FROM event_history"),
+    "scd2_string_sequence": scd2(
+        """(SELECT o_custkey, CAST(CAST(o_orderdate AS TIMESTAMP) AS VARCHAR) AS seen_on, o_orderkey, o_orderpriority
+            FROM orders)""", "o_custkey", "seen_on", "o_orderpriority", "o_orderkey", "start_at", "end_at"),
+    "asof_join_one_moment": f"""
+      WITH v AS ({scd2("(SELECT o_custkey % 50 AS user_id, o_orderdate, o_orderkey, o_orderpriority FROM orders)",
+                       "user_id", "o_orderdate", "o_orderpriority", "o_orderkey", "start_at", "end_at")}),
+      f AS (SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 7 ELSE user_id % 50 END AS user_id,
+                   CASE WHEN event_id % 3 = 0 THEN TIMESTAMP '1998-01-01'
+                        ELSE ts - to_days(CAST(8300 + event_id % 2400 AS INTEGER)) END AS happened_at FROM events)
+      SELECT f.user_id, f.event_id, f.happened_at, v.o_orderpriority, v.start_at
+      FROM f JOIN v ON v.user_id = f.user_id AND v.start_at <= f.happened_at
+        AND (v.end_at IS NULL OR f.happened_at < v.end_at)""",
     "scd2_current": _ask("SELECT * EXCLUDE (end_at) FROM event_history WHERE end_at IS NULL"),
     "scd2_untracked": scd2(
         """(SELECT o_custkey, o_orderdate, o_orderkey, o_orderpriority,
@@ -369,16 +381,18 @@ ORACLE: dict[str, str] = {
     "business_metrics": _ask("SELECT * FROM metrics"),
     "customer_summary": _ask("SELECT * FROM summary"),
     "key_history": _ask("""
-      SELECT customer_id, prijem, __START_AT, __END_AT FROM dim_customers WHERE customer_id = (
-        SELECT customer_id FROM dim_customers GROUP BY 1 ORDER BY count(*) DESC, customer_id LIMIT 1)"""),
+      SELECT customer_id, prijem, __START_AT, __END_AT FROM dim_customers WHERE customer_id = '7'"""),
     "account_lifecycle": _ask("""
       SELECT typ_uctu, stav, count(*) AS pocet_uctu FROM dim_accounts WHERE __END_AT IS NULL GROUP BY ALL"""),
     "tx_with_customer": _ask("""
-      SELECT t.* EXCLUDE (ts), o.client_age, o.prijem
+      SELECT t.* RENAME (ts AS datum_ts), o.client_age, o.prijem
       FROM tx_card t JOIN card_owners o ON o.card_id = t.card_id"""),
     "exec_dashboard": _ask(f"""
       SELECT region_name, time_period, count(*) AS transaction_count, {_VOLUME} FROM metrics
       WHERE transaction_year = 2024 AND transaction_month = 1 GROUP BY ALL"""),
+    "exec_dashboard_cards": _ask(f"""
+      SELECT region_name, time_period, count(*) AS transaction_count, {_VOLUME} FROM metrics
+      WHERE transaction_year = 1998 AND transaction_month = 6 GROUP BY ALL"""),
     "customer_segmentation": _ask("""
       SELECT customer_tier, age_group, count(*) AS customer_count,
              CAST(sum(annual_income) AS DOUBLE) / count(annual_income) AS avg_income
@@ -392,8 +406,8 @@ ORACLE: dict[str, str] = {
       FROM facts WHERE client_age BETWEEN 25 AND 35 AND transaction_day_of_week IN (1, 7) GROUP BY ALL"""),
     "high_value_trend": _ask(f"""
       SELECT transaction_year, transaction_month, count(*) AS transactions, {_VOLUME}
-      FROM facts_card WHERE transaction_value_segment = 'High Value' AND transaction_date >=
-        (SELECT date_trunc('month', max(transaction_date)) - INTERVAL 5 MONTH FROM facts_card)
+      FROM facts WHERE transaction_value_segment = 'High Value'
+        AND transaction_date >= DATE '1998-07-01' AND transaction_date < DATE '1999-01-01'
       GROUP BY ALL"""),
     "evening_regions": _ask("""
       SELECT region_name, count(*) AS transactions FROM metrics WHERE time_period = 'Evening'
@@ -436,7 +450,7 @@ ORACLE: dict[str, str] = {
         FROM log_customers)
       WHERE CAST(d AS DATE) NOT IN (SELECT snapshot_date FROM log_customers)"""),
     "volume_anomalies": _ask("""
-      SELECT day, rows, days_before,
+      SELECT day, rows, round(m, 6) AS mean_rows, round(s, 6) AS stddev_rows, days_before,
              coalesce(abs(rows - m) > 2.0 * s AND days_before = 30, FALSE) AS is_anomaly
       FROM (SELECT *, avg(rows) OVER w AS m, stddev_pop(rows) OVER w AS s, count(*) OVER w AS days_before
             FROM (SELECT datum AS day, count(*) AS rows FROM tx_card GROUP BY 1)
@@ -491,6 +505,10 @@ ORACLE |= {
     "schema_drift": """
       SELECT 'expected' AS delivery, count(*) AS rows, CAST(0 AS BIGINT) AS rescued_rows FROM nation
       UNION ALL SELECT 'widened', count(*), count(*) FROM nation""",
-    "header_drift": "SELECT 'reordered' AS delivery",
+    "header_drift": """
+      SELECT unnest(['reordered', 'repeated', 'headless']) AS delivery,
+             unnest([0, 1, 0]) + (SELECT count(*) FROM nation) AS lines""",
+    "stream_fact_late_dimension": ORACLE["fact_union"],
+    "stream_rule_metrics": f"SELECT * FROM ({ORACLE['quality_metrics']}) WHERE entity IN ('customers', 'accounts')",
     "balances_through_csv": ORACLE["account_balances_silver"],
 }

@@ -206,12 +206,12 @@ def snapshot_date_from_path(spark, sf_dir):
 
 @query
 def card_transactions_silver(spark, sf_dir):
-    return Bank(spark, sf_dir).fact_source("card_transactions").drop("datum_ts")
+    return Bank(spark, sf_dir).fact_source("card_transactions")
 
 
 @query
 def financial_transactions_silver(spark, sf_dir):
-    return Bank(spark, sf_dir).fact_source("financial_transactions").drop("datum_ts")
+    return Bank(spark, sf_dir).fact_source("financial_transactions")
 
 
 @query
@@ -279,6 +279,30 @@ def scd2_history(spark, sf_dir):
     return _event_history(spark, sf_dir)
 
 
+@query
+def scd2_string_sequence(spark, sf_dir):
+    """A history ordered by text, with every key cut into slices of a few rows."""
+    log = _table(spark, sf_dir, "orders").select(
+        "o_custkey", F.col("o_orderdate").cast("string").alias("seen_on"), "o_orderkey", "o_orderpriority")
+    return scd2(log, ["o_custkey"], "seen_on", tie_break=["o_orderkey"], start="start_at", end="end_at", hot_rows=8)
+
+
+@query
+def asof_join_one_moment(spark, sf_dir):
+    """All events of one user and one moment against the user's history, cut into slices."""
+    orders = _table(spark, sf_dir, "orders")
+    history = scd2(
+        orders.select((F.col("o_custkey") % 50).alias("user_id"), "o_orderdate", "o_orderkey", "o_orderpriority"),
+        ["user_id"], "o_orderdate", tie_break=["o_orderkey"], start="start_at", end="end_at")
+    crowd = F.col("event_id") % 3 == 0
+    facts = _events(spark, sf_dir).select(
+        "event_id", F.when(crowd, 7).otherwise(F.col("user_id") % 50).alias("user_id"),
+        F.when(crowd, F.expr("TIMESTAMP_NTZ'1998-01-01 00:00:00'")).otherwise(
+            F.col("ts") - F.make_interval(days=(8300 + F.col("event_id") % 2400).cast("int"))).alias("happened_at"))
+    return asof_join(facts, history, ["user_id"], "happened_at", ["o_orderpriority", "start_at"],
+                     start="start_at", end="end_at", hot_rows=300)
+
+
 @query
 def scd2_current(spark, sf_dir):
     return current(_event_history(spark, sf_dir), "end_at").drop("end_at")
@@ -419,10 +443,8 @@ def customer_summary(spark, sf_dir):
 
 @query
 def key_history(spark, sf_dir):
-    """Income history of the customer with most versions."""
-    customers = Bank(spark, sf_dir).dimension("customers")
-    busiest = customers.groupBy("customer_id").count().orderBy(F.desc("count"), "customer_id").first()
-    return reports.income_history(customers, busiest["customer_id"] if busiest else "")
+    """Income history of one customer; the key reaches the scan."""
+    return reports.income_history(Bank(spark, sf_dir).dimension("customers"), "7")
 
 
 @query
@@ -434,7 +456,7 @@ def account_lifecycle(spark, sf_dir):
 def tx_with_customer(spark, sf_dir):
     bank = Bank(spark, sf_dir)
     return reports.transactions_with_customer(
-        bank.fact_source("card_transactions").drop("datum_ts"), bank.card_owners())
+        bank.fact_source("card_transactions"), bank.card_owners())
 
 
 @query
@@ -442,6 +464,12 @@ def exec_dashboard(spark, sf_dir):
     return reports.executive_dashboard(Bank(spark, sf_dir).metrics(), 2024, 1)
 
 
+@query
+def exec_dashboard_cards(spark, sf_dir):
+    """The dashboard of a month of card transactions."""
+    return reports.executive_dashboard(Bank(spark, sf_dir).metrics(), 1998, 6)
+
+
 @query
 def customer_segmentation(spark, sf_dir):
     return reports.customer_segmentation(Bank(spark, sf_dir).summary())
@@ -462,7 +490,7 @@ def weekend_spend(spark, sf_dir):
 
 @query
 def high_value_trend(spark, sf_dir):
-    return reports.high_value_trend(Bank(spark, sf_dir).card_facts(), 6)
+    return reports.high_value_trend(Bank(spark, sf_dir).facts(), 6, dt.date(1998, 12, 1))
 
 
 @query
@@ -539,7 +567,8 @@ def missing_days(spark, sf_dir):
 @query
 def volume_anomalies(spark, sf_dir):
     rows = Bank(spark, sf_dir).fact_source("card_transactions")
-    return monitors.volume_anomalies(rows, "datum", 30, 2.0).select("day", "rows", "days_before", "is_anomaly")
+    days = monitors.volume_anomalies(rows, "datum", 30, 2.0)
+    return days.withColumns({c: F.round(c, 6) for c in ("mean_rows", "stddev_rows")})
 
 
 @query

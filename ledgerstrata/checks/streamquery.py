@@ -55,7 +55,7 @@ def stream_ingest_csv(spark, sf_dir):
     feeds.ingest(spark, bank.settings, landing, "card_transactions").awaitTermination()
     raw = read_table(spark, bank.settings, "card_transactions_bronze")
     typed = silver.clean_fact("card_transactions", raw.where(F.col(SOURCE_FILE).contains(landing)), SETTINGS)
-    return typed.drop("datum_ts")
+    return typed
 
 
 @query
@@ -113,6 +113,36 @@ def stream_fact(spark, sf_dir):
     return read_feed(spark, bank.settings, FACTS)
 
 
+@query
+def stream_fact_late_dimension(spark, sf_dir):
+    """Owners that become known after their transactions, in two steps."""
+    bank = _bank(spark, sf_dir, "late")
+    owners = bank.owners()
+    chains = {
+        gold.CARD: ("card_transactions", "card_id", bank.card_owners(owners)),
+        gold.FINANCIAL: ("financial_transactions", "account_id", owners),
+    }
+    for kind, (entity, key, known) in chains.items():
+        _store_raw(bank, entity)
+        feeds.clean(spark, bank.settings, entity).awaitTermination()
+        for step in (1, 2, 3):
+            there = known.where(F.pmod(F.xxhash64(key), F.lit(3)) < step)
+            feed = FactFeed(spark, bank.settings, kind, lambda k=there: (k, *bank.places()))
+            feed.run().awaitTermination()
+            feed.settle()
+    return read_table(spark, bank.settings, FACTS)
+
+
+@query
+def stream_rule_metrics(spark, sf_dir):
+    """Rule counts of customers and accounts, file by file."""
+    bank = _bank(spark, sf_dir, "rules")
+    for entity in ("customers", "accounts"):
+        _store_raw(bank, entity)
+        feeds.count_rules(spark, bank.settings, entity, max_files=1).awaitTermination()
+    return feeds.rule_totals(spark, bank.settings)
+
+
 @query
 def stream_metrics_dashboard(spark, sf_dir):
     """The dashboard asked of the metrics the fact feeds wrote."""
@@ -155,14 +185,23 @@ def schema_drift(spark, sf_dir):
 
 @query
 def header_drift(spark, sf_dir):
-    """Deliveries whose files lack the expected header."""
+    """Deliveries by the number of rows of their files that begin with another line than the header."""
     bank = _bank(spark, sf_dir, "headers")
     landing = f"{bank.settings.root}/landing_data"
-    cities = bank.raw("cities").select(*LANDING["cities"])
+    columns = LANDING["cities"]
+    cities = bank.raw("cities").select(*columns)
     cities.write.csv(f"{landing}/cities/expected", header=True)
-    cities.select(*reversed(LANDING["cities"])).write.csv(f"{landing}/cities/reordered", header=True)
-    drifted = monitors.drifted_headers(spark, f"{landing}/cities", "cities")
-    return drifted.select(F.regexp_extract(SOURCE_FILE, "/cities/([a-z]+)/", 1).alias("delivery")).distinct()
+    cities.select(*reversed(columns)).write.csv(f"{landing}/cities/reordered", header=True)
+    # The header is there, but as the last line of data.
+    repeated = spark.createDataFrame([tuple(columns)], cities.schema).coalesce(1)
+    cities.coalesce(1).unionByName(repeated).coalesce(1).write.csv(f"{landing}/cities/repeated", header=False)
+    cities.coalesce(1).write.csv(f"{landing}/cities/headless", header=False)
+    delivery = F.regexp_extract(SOURCE_FILE, "/cities/([a-z]+)/", 1)
+    drifted = monitors.drifted_headers(spark, f"{landing}/cities", "cities").select(delivery.alias("delivery")).distinct()
+    reversed_header = ",".join(reversed(columns))
+    rows = (spark.read.option("recursiveFileLookup", True).text(f"{landing}/cities").where(F.col("value") != reversed_header)
+            .select(F.col("_metadata.file_path").alias(SOURCE_FILE)).groupBy(delivery.alias("delivery")).agg(F.count(F.lit(1)).alias("lines")))
+    return rows.join(drifted, "delivery")
 
 
 @query

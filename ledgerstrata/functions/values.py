@@ -22,7 +22,8 @@ def day(value: Column) -> Column:
 
 
 def moment(value: Column) -> Column:
-    return value.try_cast("timestamp")
+    """A wall-clock moment; without a zone, so that no hour moves when clocks change."""
+    return value.try_cast("timestamp_ntz")
 
 
 def years_between(birth: Column, as_of: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import cut_lineage
 from ..schemas import END, START
-from .hotkeys import HOT_ROWS, SLICE, hot_keys, join_on, slice_edges, slice_of, split_hot
+from .hotkeys import HOT_ROWS, SLICE, hot_keys, in_slices, join_on, split_hot
 
 
 def asof_join(
@@ -29,6 +29,7 @@ def asof_join(
     on one time line per key and each fact takes the version last opened before
     it, so the work is one shuffle and sort of both sides; no pair of fact and
     version is formed but the result's. Versions of a key must not overlap.
+    To look for hot keys the history is written once and counted there.
     """
     version = F.struct(*columns, F.col(end).alias("_until"))
     kind = facts.schema[at].dataType
@@ -37,6 +38,8 @@ def asof_join(
     happenings = facts.select(
         *keys, F.col(at).alias("_at"), F.lit(1).alias("_kind"),
         F.struct(*(c for c in facts.columns if c not in keys)).alias("_fact"))
+    if hot_rows is not None:
+        openings = cut_lineage(openings)
     line = openings.unionByName(happenings, allowMissingColumns=True).where(F.col("_at").isNotNull())
 
     hot = hot_keys(line, keys, hot_rows) if hot_rows is not None else None
@@ -45,7 +48,7 @@ def asof_join(
     else:
         crowded, rest = split_hot(line, hot, keys)
         found = _last_opened(rest, keys).unionByName(
-            _last_opened_in_slices(cut_lineage(crowded), keys, hot_rows))
+            _last_opened_in_slices(crowded, keys, hot_rows))
 
     until = F.col("_version._until")
     valid = found.where(
@@ -66,8 +69,9 @@ def _last_opened(line: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def _last_opened_in_slices(line: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
     """As :func:`_last_opened`, with the last version of earlier slices carried in."""
-    edges = slice_edges(line, "_at", hot_rows)
-    sliced = line.withColumn(SLICE, slice_of(F.col("_at"), edges))
+    # The hash parts facts of one moment; versions of that moment come before them.
+    content = F.xxhash64("_fact")
+    sliced = in_slices(line, keys, ["_at", "_kind", content], hot_rows)
     cell = [*keys, SLICE]
     before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     opened_last = F.max_by("_version", F.when(F.col("_kind") == 0, F.col("_at")))

@@ -1,8 +1,9 @@
 """Splitting keys that hold too many rows for one task.
 
 A window over a key runs in one task per key. Where one key may hold a third of
-the data, its rows are cut into slices along the ordering column; each slice is
-a window of its own and only a summary per (key, slice) crosses slice borders.
+the data, its rows are range-partitioned by key and order into slices of even
+size; each slice is a window of its own and only a summary per (key, slice)
+crosses slice borders. Any column that Spark can sort serves as the order.
 """
 
 from __future__ import annotations
@@ -17,9 +18,6 @@ from ..config import cut_lineage
 
 #: Rows one key may hold before its windows are sliced.
 HOT_ROWS = 2_000_000
-#: Most slices cut; a slice of the hot rows is at most this fraction of them.
-MAX_SLICES = 2048
-
 #: Most hot keys sent to every executor; above, they are joined by shuffle.
 MAX_BROADCAST_KEYS = 100_000
 
@@ -53,28 +51,14 @@ def split_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[DataF
     return join_on(df, hot, keys, "left_semi"), join_on(df, hot, keys, "left_anti")
 
 
-def slice_edges(df: DataFrame, order: str, hot_rows: int = HOT_ROWS) -> list[Column]:
-    """Quantiles of the ordering column that cut the rows into equal slices.
+def in_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], slice_rows: int) -> DataFrame:
+    """The rows with their slice number, about ``slice_rows`` to a slice.
 
-    Only the edges reach the driver, at most ``MAX_SLICES`` of them.
+    Spark samples the borders. Within a key the slice numbers follow the order;
+    rows that are equal in it share a slice, so end the order with a column
+    that tells crowded moments apart. The numbered rows are written, as a
+    repeated task might number them otherwise.
     """
-    wanted = F.count(F.lit(1))
-    rows = df.agg(wanted.alias("n")).first()["n"]
-    slices = min(MAX_SLICES, max(2, -(-rows // hot_rows)))
-    points = [i / slices for i in range(1, slices)]
-    quantiles = F.percentile_approx(order, points, 100 * slices)
-    texts = df.agg(F.transform(quantiles, lambda q: q.cast("string")).alias("q")).first()["q"] or []
-    kind = df.schema[order].dataType
-    return [F.lit(text).cast(kind) for text in dict.fromkeys(texts)]
-
-
-def slice_of(order: Column, edges: Sequence[Column]) -> Column:
-    """Number of edges at or below the value, by binary search."""
-
-    def search(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(order < edges[middle], search(low, middle)).otherwise(search(middle + 1, high))
-
-    return search(0, len(edges))
+    slices = max(2, -(-df.count() // slice_rows))
+    ranged = df.repartitionByRange(slices, *(F.col(k) for k in keys), *order)
+    return cut_lineage(ranged.withColumn(SLICE, F.spark_partition_id()))

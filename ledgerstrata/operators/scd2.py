@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..config import cut_lineage
 from ..schemas import END, START
-from .hotkeys import HOT_ROWS, SLICE, hot_keys, join_on, slice_edges, slice_of, split_hot
+from .hotkeys import HOT_ROWS, SLICE, hot_keys, in_slices, join_on, split_hot
 
 
 def scd2(
@@ -22,6 +22,7 @@ def scd2(
     start: str = START,
     end: str = END,
     hot_rows: int | None = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """One row per key and run of equal tracked values, in sequence order.
 
@@ -35,11 +36,13 @@ def scd2(
 
     All keys go through one shuffle and one sort. Keys with more than
     ``hot_rows`` rows are cut into slices; ``None`` skips the look for them
-    where the caller knows a bound.
+    where the caller knows a bound. ``counted`` names a stored table with the
+    key columns of at least the rows of ``log``; keys are counted there, so that
+    the look does not compute the log a second time.
     """
     plan = _History(log, keys, sequence, untracked, tie_break, start, end)
     rows = log.where(F.col(sequence).isNotNull())
-    hot = hot_keys(rows, keys, hot_rows) if hot_rows is not None else None
+    hot = hot_keys(rows if counted is None else counted, keys, hot_rows) if hot_rows is not None else None
     if hot is None:
         return plan.versions(rows)
     crowded, rest = split_hot(rows, hot, keys)
@@ -130,8 +133,7 @@ class _History:
             .agg(winner.alias("_row"))
             .select(*self.keys, self.sequence, *(F.col(f"_row.{c}").alias(c) for c in rest))
         )
-        edges = slice_edges(unique, self.sequence, hot_rows)
-        sliced = unique.withColumn(SLICE, slice_of(F.col(self.sequence), edges))
+        sliced = in_slices(unique, self.keys, [self.sequence], hot_rows)
         cell = [*self.keys, SLICE]
         in_slice = Window.partitionBy(*cell).orderBy(self.sequence)
         across = Window.partitionBy(*self.keys).orderBy(SLICE)

@@ -24,15 +24,17 @@ def drifted_rows(bronze: DataFrame) -> DataFrame:
 
 
 def drifted_headers(spark: SparkSession, path: str, entity: str) -> DataFrame:
-    """Files below ``path`` that lack the expected header line."""
+    """Files below ``path`` whose first line is not the expected header.
+
+    Only lines of a file's first block are compared, and of them only the first.
+    """
     expected = ",".join(LANDING[entity])
-    lines = spark.read.option("recursiveFileLookup", True).text(path)
-    bare = F.regexp_replace(F.regexp_replace("value", r'^\x{FEFF}|"|\s', ""), r"\r$", "")
-    return (
-        lines.select(F.col("_metadata.file_path").alias(SOURCE_FILE), (bare == expected).alias("ok"))
-        .groupBy(SOURCE_FILE).agg(F.count_if("ok").alias("headers"))
-        .where("headers = 0").select(SOURCE_FILE)
-    )
+    lines = spark.read.option("recursiveFileLookup", True).text(path).where("_metadata.file_block_start = 0")
+    firsts = lines.select(
+        F.col("_metadata.file_path").alias(SOURCE_FILE), "value", F.monotonically_increasing_id().alias("_line")
+    ).groupBy(SOURCE_FILE).agg(F.min_by("value", "_line").alias("header"))
+    bare = F.regexp_replace("header", r'^\x{FEFF}|"|\r$', "")
+    return firsts.where(bare != expected).select(SOURCE_FILE)
 
 
 def volume_anomalies(rows: DataFrame, day: str, window_days: int, tolerance: float) -> DataFrame:

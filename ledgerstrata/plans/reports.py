@@ -83,12 +83,15 @@ def weekend_spend(
         _rows().alias("transactions"), _volume().alias("total_spend"))
 
 
-def high_value_trend(facts: DataFrame, months: int) -> DataFrame:
-    """High-value transactions per month of the last ``months`` months of data."""
-    newest = F.trunc(F.max("transaction_date"), "month")
-    start = facts.agg(F.add_months(newest, 1 - months)).scalar()
+def high_value_trend(facts: DataFrame, months: int, until: dt.date) -> DataFrame:
+    """High-value transactions per month of the ``months`` months that end with the one of ``until``.
+
+    The months are compared as partition columns, so only their folders are read.
+    """
+    month = F.col("transaction_year") * 12 + F.col("transaction_month")
+    last = until.year * 12 + until.month
     recent = facts.where(
-        (F.col("transaction_date") >= start)
+        month.between(last - months + 1, last)
         & (F.col("transaction_value_segment") == bands.VALUE_OVER[0][1]))
     return recent.groupBy("transaction_year", "transaction_month").agg(
         _rows().alias("transactions"), _volume().alias("total_volume"))

@@ -133,7 +133,7 @@ def history_dimension(entity: str, good: DataFrame, settings: Settings, **option
 def dimension_from_bronze(entity: str, bronze: DataFrame, settings: Settings, **options) -> DataFrame:
     """Clean, drop quarantined rows and build the history in one plan."""
     good = quality.good_records(flagged_snapshot(entity, bronze, settings))
-    return history_dimension(entity, good, settings, **options)
+    return history_dimension(entity, good, settings, **{"counted": bronze} | options)
 
 
 def _owner_keys(entity: str, settings: Settings) -> tuple[tuple[str, ...], tuple[str, ...]]:

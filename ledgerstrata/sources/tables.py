@@ -4,19 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..catalog import TABLES
+from ..catalog import FACTS, METRICS, TABLES
 from ..config import Settings
-from ..schemas import bronze_schema
+from ..schemas import SNAPSHOT_ENTITIES, bronze_schema
+
+
+#: Tables that the streaming chain keeps as increments of its own.
+FED = frozenset({FACTS, METRICS, *(f"dim_{e}" for e in SNAPSHOT_ENTITIES)})
 
 
 def path_of(settings: Settings, name: str) -> str:
     return settings.path(TABLES[name].layer, name)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder is there, asked of Spark's own reader."""
+    try:
+        return bool(spark.read.text(path).columns)
+    except AnalysisException:
+        return False
+
+
+def is_streamed(spark: SparkSession, settings: Settings, name: str) -> bool:
+    """Whether a stream owns the table's files; nobody else may rewrite them."""
+    return exists(spark, f"{path_of(settings, name)}/_spark_metadata")
+
+
 def schema_of(spark: SparkSession, settings: Settings, name: str) -> T.StructType:
     """Schema a table has by contract, found by building it from empty inputs."""
     table = TABLES[name]
@@ -27,7 +45,14 @@ def schema_of(spark: SparkSession, settings: Settings, name: str) -> T.StructTyp
 
 
 def read_table(spark: SparkSession, settings: Settings, name: str) -> DataFrame:
-    """A table's rows. Partition columns are typed by contract, not by guess."""
+    """A table's rows. Partition columns are typed by contract, not by guess.
+
+    A table that only increments have written so far is read from them.
+    """
+    if name in FED and not exists(spark, path_of(settings, name)):
+        from ..streaming.run import read_increments
+
+        return read_increments(spark, settings, name)
     reader = spark.read
     if TABLES[name].partitions(settings):
         reader = reader.schema(schema_of(spark, settings, name))
@@ -61,10 +86,18 @@ def write_table(df: DataFrame, settings: Settings, name: str) -> None:
 
 
 def refresh(spark: SparkSession, settings: Settings, names: Iterable[str] | None = None) -> None:
-    """Rebuild derived tables (default: all of them) from the raw ones."""
+    """Rebuild derived tables (default: all of them) from the raw ones.
+
+    Tables that a stream appends to are up to date as they are: they are left
+    alone, and naming one is an error, as a rewrite would cut the stream off
+    from its own log.
+    """
     chosen = set(TABLES if names is None else names)
+    streamed = {n for n in chosen if TABLES[n].build is not None and is_streamed(spark, settings, n)}
+    if names is not None and streamed:
+        raise ValueError(f"written by streams, not to be rebuilt: {sorted(streamed)}")
     for name, table in TABLES.items():
-        if name in chosen and table.build is not None:
+        if name in chosen - streamed and table.build is not None:
             inputs = {i: read_table(spark, settings, i) for i in table.inputs}
             write_table(table.build(inputs, settings), settings, name)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..catalog import TABLES
@@ -13,9 +14,6 @@ from ..schemas import SNAPSHOT_ENTITIES
 from ..sources.landing import stream_landing
 from ..sources.tables import path_of, stream_table
 
-RULES = "rules"
-
-
 def checkpoint_of(settings: Settings, query: str) -> str:
     return f"{settings.root.rstrip('/')}/_checkpoints/{settings.env or 'main'}/{query}"
 
@@ -36,13 +34,39 @@ def ingest(spark: SparkSession, settings: Settings, landing: str, entity: str, *
 
 
 def clean(spark: SparkSession, settings: Settings, entity: str) -> StreamingQuery:
-    """New raw rows into the cleaned table; snapshots are counted by rule on the way."""
+    """New raw rows into the cleaned table."""
     raw = stream_table(spark, settings, f"{entity}_bronze")
     if entity not in SNAPSHOT_ENTITIES:
         return append(silver.clean_fact(entity, raw, settings), settings, f"{entity}_silver")
-    rows = silver.clean_snapshot(entity, raw, settings)
-    counters = quality.counters(quality.rules_for(entity, settings))
-    return append(rows.observe(RULES, *counters), settings, f"{entity}_clean_silver")
+    return append(silver.clean_snapshot(entity, raw, settings), settings, f"{entity}_clean_silver")
+
+
+def count_rules(spark: SparkSession, settings: Settings, entity: str, **options) -> StreamingQuery:
+    """Passes and failures per rule of new raw rows, one folder per micro-batch.
+
+    A repeated batch replaces its counts, and no batch is forgotten, however
+    many a run has.
+    """
+    rules = quality.rules_for(entity, settings)
+
+    def take(rows: DataFrame, batch: int) -> None:
+        counted = quality.rule_counts(silver.clean_snapshot(entity, rows, settings), rules)
+        counted.write.mode("overwrite").parquet(f"{rules_root(settings)}/entity={entity}/batch={batch}")
+
+    return (stream_table(spark, settings, f"{entity}_bronze", **options).writeStream.foreachBatch(take)
+            .option("checkpointLocation", checkpoint_of(settings, f"rules_{entity}"))
+            .queryName(f"rules_{entity}").trigger(availableNow=True).start())
+
+
+def rules_root(settings: Settings) -> str:
+    return f"{settings.root.rstrip('/')}/{settings.schema('silver')}/rule_metrics"
+
+
+def rule_totals(spark: SparkSession, settings: Settings) -> DataFrame:
+    """``entity, rule, passed_rows, failed_rows`` over all batches so far."""
+    schema = "rule string, passed_rows long, failed_rows long, entity string, batch long"
+    return spark.read.schema(schema).parquet(rules_root(settings)).groupBy("entity", "rule").agg(
+        F.sum("passed_rows").alias("passed_rows"), F.sum("failed_rows").alias("failed_rows"))
 
 
 def route(spark: SparkSession, settings: Settings, entity: str) -> list[StreamingQuery]:
@@ -52,13 +76,3 @@ def route(spark: SparkSession, settings: Settings, entity: str) -> list[Streamin
         append(quality.good_records(rows), settings, f"{entity}_clean_good_records"),
         append(quality.bad_records(rows), settings, f"{entity}_clean_bad_records"),
     ]
-
-
-def rule_totals(query: StreamingQuery) -> dict[str, int]:
-    """Passes and failures per rule over the batches of a finished clean query."""
-    totals: dict[str, int] = {}
-    for progress in query.recentProgress:
-        seen = progress.observedMetrics.get(RULES)
-        for name, count in (seen.asDict() if seen else {}).items():
-            totals[name] = totals.get(name, 0) + count
-    return totals

@@ -25,7 +25,7 @@ from ..operators.quality import good_records
 from ..operators.scd2 import scd2, with_timestamps
 from ..plans.silver import flagged_snapshot, untracked_columns
 from ..schemas import END, HISTORY_KEYS, INGESTED, QUARANTINED, SNAPSHOT, START, bronze_schema
-from ..sources.tables import path_of, sized_for_writing, stream_table
+from ..sources.tables import exists, path_of, sized_for_writing, stream_table
 from .feeds import checkpoint_of
 
 LOG_BUCKETS = 64
@@ -81,6 +81,8 @@ class HistoryFeed:
          .write.mode("overwrite").partitionBy("is_open").parquet(f"{self.root}/versions/batch={batch}"))
         (self.spark.range(1).coalesce(1).write.mode("overwrite")
          .parquet(f"{self.root}/published/batch={batch}"))
+        if batch >= 2:  # the batch before may still be read
+            self.expire(batch - 2)
 
     def _history(self, log: DataFrame) -> DataFrame:
         return scd2(log, self.keys, SNAPSHOT, tie_break=[INGESTED],
@@ -104,17 +106,13 @@ class HistoryFeed:
 
     def _newest_published(self, before: int | None = None) -> int | None:
         published = self.spark.read.schema("id long, batch long").parquet(f"{self.root}/published") \
-            if self._has("published") else None
+            if exists(self.spark, f"{self.root}/published") else None
         if published is None:
             return None
         if before is not None:
             published = published.where(F.col("batch") < before)
         return published.agg(F.max("batch")).first()[0]
 
-    def _has(self, part: str) -> bool:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{part}")
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
-
     def _versions(self) -> DataFrame:
         schema = T.StructType([*self.version_schema, T.StructField("batch", T.LongType()),
                                T.StructField("is_open", T.BooleanType())])

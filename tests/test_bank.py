@@ -224,7 +224,7 @@ def test_reports_on_facts(spark):
     rows = facts(spark, NOW).cache()
     metrics = gold.business_metrics(rows, NOW)
     assert reports.executive_dashboard(metrics, 2024, 1).agg(F.sum("transaction_count")).first()[0] == 4
-    trend = reports.high_value_trend(rows, 6).collect()
+    trend = reports.high_value_trend(rows, 6, day(1)).collect()
     assert [(r["transactions"], r["total_volume"]) for r in trend] == [(2, Decimal("2501.00"))]
     spend = {r["city_name"]: r["total_spend"] for r in reports.weekend_spend(rows, 40, 50).collect()}
     assert spend == {"Unknown": Decimal("150.00")}
@@ -257,8 +257,10 @@ def test_monitors(spark, tmp_path):
     assert [r["day"] for r in odd] == [day(9)]
     landing = bank.land(tmp_path, "regions", [{"region_id": "1"}])
     bank.land(tmp_path, "regions", [{"region_id": "1"}], name="odd.csv", header=("nazev", "region_id"))
+    header = ",".join(LANDING["regions"])
+    (tmp_path / "landing_data" / "regions" / "late.csv").write_text(f"x,y\n{header}\n")
     files = monitors.drifted_headers(spark, f"{landing}/regions", "regions").collect()
-    assert len(files) == 1 and files[0][0].endswith("odd.csv")
+    assert sorted(r[0].rsplit("/", 1)[1] for r in files) == ["late.csv", "odd.csv"]
 
 
 def test_latest_per_key_is_deterministic_on_full_ties(spark, rows_of):

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerstrata.checks.sparkquery import QUERIES, Bank
-from ledgerstrata.operators.hotkeys import slice_edges, slice_of
+from ledgerstrata.operators.hotkeys import SLICE, in_slices
 from ledgerstrata.plans import gold
 
 SF = "/root/testdata/sf0.001"
@@ -69,12 +69,18 @@ def test_a_hot_card_is_split_at_run_time(spark, tmp_path):
     assert "skew=true" in plan_of(joined)
 
 
-@pytest.mark.parametrize("kind", ["date", "timestamp", "bigint"])
+@pytest.mark.parametrize("kind", ["date", "timestamp", "bigint", "string", "decimal(12,2)"])
 def test_slices_are_even_and_ordered(spark, kind):
-    rows = spark.range(5000).select(F.expr(
-        {"date": "date_add(DATE'2000-01-01', int(id))", "bigint": "id",
-         "timestamp": "timestamp_seconds(id * 1000)"}[kind]).alias("t"))
-    sliced = rows.withColumn("s", slice_of(F.col("t"), slice_edges(rows, "t", 600)))
-    bounds = sliced.groupBy("s").agg(F.count("t").alias("n"), F.min("t").alias("a"), F.max("t").alias("b")).orderBy("s").collect()
-    assert len(bounds) == 9 and all(r["n"] < 650 for r in bounds)
+    made = {"date": "date_add(DATE'2000-01-01', int(id))", "timestamp": "timestamp_seconds(id * 1000)", "string": "lpad(id, 6, '0')"}
+    rows = spark.range(5000).select(F.lit("k").alias("k"), F.expr(made.get(kind, f"cast(id as {kind})")).alias("t"))
+    sliced = in_slices(rows, ["k"], ["t"], 600)
+    bounds = sliced.groupBy(SLICE).agg(F.count("t").alias("n"), F.min("t").alias("a"), F.max("t").alias("b")).orderBy(SLICE).collect()
+    assert len(bounds) == 9 and all(r["n"] < 1200 for r in bounds)
     assert all(x["b"] < y["a"] for x, y in zip(bounds, bounds[1:]))
+
+
+def test_one_moment_is_cut_into_slices(spark):
+    """A thousand facts of one key and one date do not meet in one task."""
+    rows = spark.range(1000).select(F.lit("k").alias("k"), F.expr("DATE'2024-01-01'").alias("_at"), F.lit(1).alias("_kind"), "id")
+    counts = in_slices(rows, ["k"], ["_at", "_kind", F.xxhash64("id")], 100).groupBy(SLICE).count().collect()
+    assert len(counts) == 10 and max(r["count"] for r in counts) < 250

@@ -68,6 +68,15 @@ def test_long_unchanged_run_across_slices(spark, rows_of, hot_rows):
     assert len(got) == 3
 
 
+@pytest.mark.parametrize("kind", ["string", "timestamp", "decimal(12,0)", "bigint"])
+def test_sequences_of_any_type(spark, rows_of, kind):
+    made = {"string": "date_format(seq, 'yyyy.MM.dd')", "timestamp": "cast(seq as timestamp)"}
+    log = spark.createDataFrame(random_log(4, list("abc"), 40, ["x", "y", None]), SCHEMA)
+    log = log.withColumn("seq", F.expr(made.get(kind, f"cast(datediff(seq, DATE'2020-01-01') as {kind})")))
+    whole, cut = (rows_of(scd2(log, ["k"], "seq", untracked=["seen"], tie_break=["tie"], hot_rows=n)) for n in (None, 3))
+    assert whole == cut and len(whole) > 20
+
+
 def test_one_hot_group_of_copies(spark, rows_of):
     """A third of all rows share one key and one moment."""
     log = [("hot", day(5), "x", 1, 1, n) for n in range(300)] + random_log(9, list("abcdef"), 60, ["x", "y"])

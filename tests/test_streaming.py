@@ -3,11 +3,12 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 import bank
 from ledgerstrata.catalog import FACTS, METRICS, SUMMARY, TABLES
 from ledgerstrata.config import Settings
-from ledgerstrata.schemas import FACT_COLUMNS
+from ledgerstrata.schemas import FACT_COLUMNS, bronze_schema
 from ledgerstrata.sources.tables import compact, path_of, publish, read_table, refresh, reset
 from ledgerstrata.streaming import feeds
 from ledgerstrata.streaming.facts import FactFeed, read_feed
@@ -88,12 +89,13 @@ def test_repeated_batch_replaces_its_rows(spark, rows_of, rounds):
 
 
 def test_repeated_fact_batch_replaces_its_rows(spark, rows_of, rounds):
-    """The second batch of payments holds T4, and T3 that waited since the first."""
+    """The second batch of payments holds T4; T3 waits since the first and is settled later."""
     settings, _, _ = rounds
     feed = FactFeed(spark, settings, "CARD", lambda: current_owners(spark, settings, "CARD"))
     before = rows_of(read_feed(spark, settings, FACTS))
     assert [r["card_transaction_id"] for r in feed.waiting(0).collect()] == ["T3"]
     assert feed.waiting(1).count() == 0
+    feed.settle()
     payments = read_table(spark, settings, "card_transactions_silver")
     feed.take(payments.where("card_transaction_id = 'T4'"), 1)
     assert rows_of(read_feed(spark, settings, FACTS)) == before
@@ -125,10 +127,23 @@ def test_expired_open_versions(spark, rows_of, rounds):
         feed.expire(feed._newest_published())
 
 
-def test_refresh_rebuilds_all_tables(spark, rows_of, rounds):
-    """The batch rebuild gives facts the owners of today."""
+def test_chain_publishes_its_tables(spark, rows_of, rounds):
     settings, _, _ = rounds
+    assert rows_of(read_table(spark, settings, FACTS)) == rows_of(read_feed(spark, settings, FACTS))
+    assert read_table(spark, settings, METRICS).count() == 6
+    assert read_table(spark, settings, "dim_customers").count() == 4
+
+
+def test_refresh_rebuilds_all_tables(spark, rows_of, rounds):
+    """The batch rebuild gives facts the owners of today, and leaves streams alone."""
+    settings, _, landing = rounds
+    cleaned = rows_of(read_table(spark, settings, "card_transactions_silver"))
     refresh(spark, settings)
+    assert rows_of(read_table(spark, settings, "card_transactions_silver")) == cleaned
+    with pytest.raises(ValueError):
+        refresh(spark, settings, ["card_transactions_silver"])
+    run_round(spark, settings, landing)
+    assert rows_of(read_table(spark, settings, "card_transactions_silver")) == cleaned
     facts = {r["transaction_id"]: r for r in read_table(spark, settings, FACTS).collect()}
     assert set(facts) == {"T1", "T2", "T3", "T4", "F1", "F2"}
     assert facts["T2"]["customer_id"] == "1"
@@ -157,14 +172,17 @@ def test_refresh_rebuilds_all_tables(spark, rows_of, rounds):
     assert not spark.catalog.tableExists(full)
 
 
-def test_rule_totals_of_a_stream(spark, tmp_path):
+def test_rule_totals_outlive_many_batches(spark, tmp_path):
+    """More micro-batches than a query remembers the progress of."""
     settings = Settings(root=str(tmp_path / "lake"), as_of=AS_OF)
-    landing = bank.land_first_day(tmp_path)
-    feeds.ingest(spark, settings, landing, "customers").awaitTermination()
-    query = feeds.clean(spark, settings, "customers")
-    query.awaitTermination()
-    totals = feeds.rule_totals(query)
-    assert totals["valid_datum_narozeni__passed"] == 2 and totals["valid_datum_narozeni__failed"] == 1
+    births = [(str(n), "1900-01-01" if n % 4 else "1980-01-01") for n in range(104)]
+    given = spark.createDataFrame(births, "customer_id string, datum_narozeni string")
+    rows = given.select(*((F.col(f.name) if f.name in given.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+                          for f in bronze_schema("customers")))
+    rows.repartition(104).write.parquet(path_of(settings, "customers_bronze"))
+    feeds.count_rules(spark, settings, "customers", max_files=1).awaitTermination()
+    totals = {r["rule"]: (r["passed_rows"], r["failed_rows"]) for r in feeds.rule_totals(spark, settings).collect()}
+    assert totals["valid_customer_id"] == (104, 0) and totals["valid_datum_narozeni"] == (26, 78)
 
 
 def test_reference_mode_chain(spark, tmp_path):
