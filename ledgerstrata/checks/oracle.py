@@ -508,6 +508,12 @@ ORACLE |= {
     "header_drift": """
       SELECT unnest(['reordered', 'repeated', 'headless']) AS delivery,
              unnest([0, 1, 0]) + (SELECT count(*) FROM nation) AS lines""",
+    "compacted_month": _ask("""
+      SELECT count(*) AS rows, CAST(sum(amount) AS DECIMAL(38,2)) AS volume, CAST(1 AS BIGINT) AS files
+      FROM facts_card WHERE transaction_year = 1998 AND transaction_month = 6"""),
+    "declared_table": """
+      SELECT CAST(0 AS BIGINT) AS declared_rows, count(*) AS published_rows,
+             TRUE AS in_own_namespace, TRUE AS dropped FROM region""",
     "stream_fact_late_dimension": ORACLE["fact_union"],
     "stream_rule_metrics": f"SELECT * FROM ({ORACLE['quality_metrics']}) WHERE entity IN ('customers', 'accounts')",
     "balances_through_csv": ORACLE["account_balances_silver"],

@@ -7,17 +7,18 @@ scratch space, runs the streams over them and reads back what they wrote.
 from __future__ import annotations
 
 import dataclasses
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..catalog import FACTS, METRICS, TABLES
-from ..config import scratch_dir
+from ..catalog import FACTS, METRICS, PERIOD, TABLES
+from ..config import cut_lineage, scratch_dir
 from ..functions import values
 from ..plans import gold, monitors, reports, silver
 from ..schemas import INGESTED, LANDING, RESCUED, SOURCE_FILE, bronze_schema
 from ..sources.landing import read_landing
-from ..sources.tables import path_of, read_table, refresh, write_table
+from ..sources.tables import compact, declare, path_of, publish, read_table, refresh, reset, write_table
 from ..streaming import feeds
 from ..streaming.facts import FactFeed, read_feed
 from ..streaming.history import HistoryFeed
@@ -168,6 +169,37 @@ def refresh_all_tables(spark, sf_dir):
     return first
 
 
+@query
+def compacted_month(spark, sf_dir):
+    """Card facts in many small files, one month of them compacted, asked for that month."""
+    bank = _bank(spark, sf_dir, "compact")
+    facts = bank.card_facts()
+    facts.repartition(6).write.partitionBy(*PERIOD).parquet(path_of(bank.settings, FACTS))
+    compact(spark, bank.settings, FACTS, {"transaction_year": 1998, "transaction_month": 6})
+    files = spark.read.parquet(path_of(bank.settings, FACTS)).where("transaction_year = 1998 AND transaction_month = 6")
+    return files.agg(F.count(F.lit(1)).alias("rows"), F.sum("amount").cast("decimal(38,2)").alias("volume"),
+                     F.countDistinct(F.input_file_name()).alias("files"))
+
+
+@query
+def declared_table(spark, sf_dir):
+    """A table declared empty, published under its environment, filled, and dropped from the catalog."""
+    bank = _bank(spark, sf_dir, "declared")
+    settings = dataclasses.replace(bank.settings, env=f"q{uuid.uuid4().hex[:8]}")
+    declare(spark, settings, "regions_silver")
+    declared = read_table(spark, settings, "regions_silver").count()
+    name = publish(spark, settings, "regions_silver")
+    write_table(bank.places()[1], settings, "regions_silver")
+    spark.catalog.refreshTable(name)
+    there = [r["namespace"] == name.split(".")[0] for r in spark.sql("SHOW DATABASES").collect()]
+    filled = cut_lineage(spark.table(name).agg(F.count(F.lit(1)).alias("published_rows")))
+    reset(spark, settings, ["regions_silver"], confirmed=True)
+    gone = not spark.catalog.tableExists(name)
+    spark.sql(f"DROP DATABASE `{name.split('.')[0]}`")
+    return filled.select(
+        "*", F.lit(declared).cast("long").alias("declared_rows"), F.lit(any(there)).alias("in_own_namespace"), F.lit(gone).alias("dropped"))
+
+
 @query
 def schema_drift(spark, sf_dir):
     """Rows kept aside per delivery, one delivery having a column too many."""
