@@ -177,8 +177,9 @@ def compacted_month(spark, sf_dir):
     facts.repartition(6).write.partitionBy(*PERIOD).parquet(path_of(bank.settings, FACTS))
     compact(spark, bank.settings, FACTS, {"transaction_year": 1998, "transaction_month": 6})
     files = spark.read.parquet(path_of(bank.settings, FACTS)).where("transaction_year = 1998 AND transaction_month = 6")
-    return files.agg(F.count(F.lit(1)).alias("rows"), F.sum("amount").cast("decimal(38,2)").alias("volume"),
-                     F.countDistinct(F.input_file_name()).alias("files"))
+    named = files.select("amount", F.col("_metadata.file_path").alias("file"))
+    return named.agg(F.count(F.lit(1)).alias("rows"), F.sum("amount").cast("decimal(38,2)").alias("volume"),
+                     F.countDistinct("file").alias("files"))
 
 
 @query
