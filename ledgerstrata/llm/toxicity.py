@@ -29,7 +29,7 @@ SLOTS = 1 << 20
 STEMS = (4, 5, 6)
 TERMS = 8192
 #: A term enters when its log odds are this many standard errors from zero.
-MIN_Z = 2.0
+MIN_Z = 2.5
 FACTORS = 4
 #: Upper bound of the labelled rows that are learned from; half of it for either label.
 FIT_ROWS = 40_000
