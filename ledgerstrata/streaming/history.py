@@ -5,10 +5,12 @@ that a repeated batch replaces what it wrote before:
 
 ``log/batch=N``       the good rows of the batch, the truth late rows go back to
 ``late/batch=N``      keys with rows at or before what had been seen of them
-``versions/batch=N``  versions closed by the batch, and all versions open after it
+``versions/batch=N``  versions closed by the batch, and the open ones of its keys;
+                      every ``FOLD``-th batch holds the open versions of all keys
 ``published/batch=N`` written last; readers see the newest published batch
 
-A batch in order needs the open versions only. Keys with late rows are rebuilt
+A batch in order needs the open versions of its keys only, and writes no others; a
+key's open version is that of the newest batch that has the key. Keys with late rows are rebuilt
 from their log, and their closed versions of earlier batches no longer count.
 """
 
@@ -29,6 +31,8 @@ from ..sources.tables import exists, path_of, sized_for_writing, stream_table
 from .feeds import checkpoint_of
 
 LOG_BUCKETS = 64
+#: Batches between two that write the open versions of all keys.
+FOLD = 16
 
 
 class HistoryFeed:
@@ -62,6 +66,8 @@ class HistoryFeed:
         log = self._log(batch)
         arrived = log.where(F.col("batch") == batch).drop("batch", "bucket")
         standing = self._open(self._newest_published(before=batch))
+        if batch % FOLD:
+            standing = join_on(standing, arrived.select(*self.keys).distinct(), self.keys, "left_semi")
 
         first = arrived.groupBy(*self.keys).agg(F.min(SNAPSHOT).alias("_first"))
         seen = standing.select(*self.keys, F.col(SNAPSHOT).alias("_seen"))
@@ -81,8 +87,9 @@ class HistoryFeed:
          .write.mode("overwrite").partitionBy("is_open").parquet(f"{self.root}/versions/batch={batch}"))
         (self.spark.range(1).coalesce(1).write.mode("overwrite")
          .parquet(f"{self.root}/published/batch={batch}"))
-        if batch >= 2:  # the batch before may still be read
-            self.expire(batch - 2)
+        if batch % FOLD == 0:  # batches since the last fold may still be read
+            for old in range(max(0, batch - 2 * FOLD), batch - FOLD):
+                self.expire(old)
 
     def _history(self, log: DataFrame) -> DataFrame:
         return scd2(log, self.keys, SNAPSHOT, tie_break=[INGESTED],
@@ -121,10 +128,12 @@ class HistoryFeed:
     def _open(self, batch: int | None) -> DataFrame:
         if batch is None:
             return self.spark.createDataFrame([], self.version_schema)
-        return self._versions().where((F.col("batch") == batch) & F.col("is_open")).drop("batch", "is_open")
+        rows = self._versions().where(F.col("batch").between(batch - batch % FOLD, batch) & F.col("is_open"))
+        newest = rows.groupBy(*self.keys).agg(F.max("batch").alias("_newest"))
+        return join_on(rows, newest, self.keys, "inner").where("batch = _newest").drop("batch", "is_open", "_newest")
 
     def current(self) -> DataFrame:
-        """Open versions; reads the newest batch's folder alone."""
+        """Open versions; reads the batches since the last fold."""
         return with_timestamps(self._open(self._newest_published()))
 
     def history(self) -> DataFrame:
@@ -144,9 +153,9 @@ class HistoryFeed:
             valid.drop("batch", "is_open", "_rebuilt").unionByName(self._open(newest)))
 
     def expire(self, batch: int) -> None:
-        """Empty the open versions of a batch that a newer one has replaced."""
+        """Empty the open versions of a batch that a later fold has replaced."""
         newest = self._newest_published()
-        if newest is None or batch >= newest:
+        if newest is None or batch >= newest - newest % FOLD:
             raise ValueError(f"batch {batch} is still being read")
         (self.spark.createDataFrame([], self.version_schema).write.mode("overwrite")
          .parquet(f"{self.root}/versions/batch={batch}/is_open=true"))

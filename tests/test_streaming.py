@@ -9,8 +9,11 @@ import bank
 from ledgerstrata.catalog import FACTS, METRICS, SUMMARY, TABLES
 from ledgerstrata.config import Settings
 from ledgerstrata.schemas import FACT_COLUMNS, bronze_schema
+from ledgerstrata.operators.quality import good_records
+from ledgerstrata.plans.silver import flagged_snapshot
 from ledgerstrata.sources.tables import compact, path_of, publish, read_table, refresh, reset
 from ledgerstrata.streaming import feeds
+from ledgerstrata.streaming import history as streaming_history
 from ledgerstrata.streaming.facts import FactFeed, read_feed
 from ledgerstrata.streaming.history import HistoryFeed
 from ledgerstrata.streaming.run import current_owners, run_round
@@ -117,14 +120,30 @@ def test_quarantine_reads_one_partition(spark, rounds):
     assert "PartitionFilters: [isnotnull(is_quarantined" in good._jdf.queryExecution().executedPlan().toString()
 
 
-def test_expired_open_versions(spark, rows_of, rounds):
-    settings, _, _ = rounds
+@pytest.mark.parametrize("fold", [2, 16])
+def test_batches_write_their_own_keys(spark, rows_of, tmp_path, monkeypatch, fold):
+    """Five batches of few keys each, folded or not, equal a rebuild; late rows included."""
+    monkeypatch.setattr(streaming_history, "FOLD", fold)
+    settings = Settings(root=str(tmp_path / "lake"), as_of=AS_OF)
     feed = HistoryFeed(spark, settings, "accounts")
-    before = rows_of(feed.history())
-    feed.expire(0)
-    assert rows_of(feed.history()) == before
-    with pytest.raises(ValueError):
-        feed.expire(feed._newest_published())
+    days = [1, 2, 3, 2, 5]
+    log = []
+    for batch, n in enumerate(days):
+        for key in ("A", "B", "C", "D")[batch % 3:batch % 3 + 2]:
+            log.append({**bank.account(key, "1", stav=f"s{(batch + n) % 3}"), "snapshot_date": dt.date(2024, 1, n), "source_file": "f",
+                        "ingestion_ts": dt.datetime(2024, 2, 1, batch)})
+        schema = bronze_schema("accounts")
+        raw = spark.createDataFrame([tuple(r.get(f.name) for f in schema) for r in log], schema)
+        good = good_records(flagged_snapshot("accounts", raw, settings))
+        feed.take(good.where(F.col("ingestion_ts") == dt.datetime(2024, 2, 1, batch)), batch)
+    whole = TABLES["dim_accounts"].build({"accounts_bronze": raw}, settings)
+    assert rows_of(feed.history().select(*whole.columns)) == rows_of(whole) and whole.count() > 6
+    written = feed._versions().where("batch = 3 AND is_open").count()
+    assert written == 2  # the keys of the batch, not all four
+    if fold == 2:
+        assert feed._versions().where("batch < 2 AND is_open").count() == 0
+        with pytest.raises(ValueError):
+            feed.expire(4)
 
 
 def test_chain_publishes_its_tables(spark, rows_of, rounds):
