@@ -26,18 +26,18 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Returns ``node, component_id`` for every node that has an edge to another node;
     ``component_id`` is the smallest node of the component. Rounds of large-star and
     small-star (every node hands its neighbours to the smallest of them) run until the
-    edges form stars. Each round is two aggregates and two joins, which Spark can split
-    where one node has many neighbours; nothing is gathered per component. Null ends
-    and loops are ignored.
+    edges form stars. Each round is two aggregates and two joins with their written results;
+    as both sides of a join come from files, Spark can split a node with many neighbours.
+    Nothing is gathered per component. Null ends and loops are ignored.
     """
     edges = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     stars = cut_lineage(edges.distinct())
     while not _are_stars(stars):
         both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        lowest = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        lowest = cut_lineage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = both.join(lowest, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = cut_lineage(large.distinct())
-        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
+        lowest = cut_lineage(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(lowest, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         stars = cut_lineage(small.unionByName(lowest.select("u", F.col("m").alias("v"))).distinct())
     members = stars.select(F.col("u").alias("node"), F.col("v").alias("component_id"))
