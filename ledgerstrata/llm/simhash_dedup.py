@@ -83,7 +83,7 @@ def near_fingerprints(fps: DataFrame) -> DataFrame:
     visitors = (owners.select("fp", "segment", "value", F.explode(flips).alias("flip"))
                 .where(F.col("value").bitwiseAND(F.col("flip")) == 0)
                 .select("fp", "segment", F.col("value").bitwiseOR(F.col("flip")).alias("value")))
-    hubs = owners.groupBy("segment", "value").agg(F.min("fp").alias("hub"))
+    hubs = cut_lineage(owners.groupBy("segment", "value").agg(F.min("fp").alias("hub")))
     hits = (owners.withColumn("owner", F.lit(True)).unionByName(visitors.withColumn("owner", F.lit(False)))
             .join(hubs, ["segment", "value"]).where("fp <> hub or not owner"))
     hits = cut_lineage(hits)
@@ -94,8 +94,9 @@ def near_fingerprints(fps: DataFrame) -> DataFrame:
     placed = (hits.drop("hub").unionByName(hubs_hit)
               .join(groups.select(F.col("node").alias("fp"), F.col("component_id").alias("g")), "fp", "left")
               .withColumn("g", F.coalesce("g", "fp")))
+    placed = cut_lineage(placed)
     mixed = placed.groupBy("segment", "value").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo <> hi").drop("lo", "hi")
-    placed = cut_lineage(placed.join(mixed, ["segment", "value"]))
+    placed = cut_lineage(placed.join(cut_lineage(mixed), ["segment", "value"]))
     own = placed.where("owner").select("segment", "value", F.col("fp").alias("a"), F.col("g").alias("ga"))
     other = placed.select("segment", "value", F.col("fp").alias("b"), F.col("g").alias("gb"), "owner")
     rest = (own.join(other, ["segment", "value"])
