@@ -28,7 +28,7 @@ PASSES = 16
 HASHES = 48
 BLOCK = 256
 #: Members of a group that are compared in one piece; larger groups are cut into tiles of this size.
-TILE = 1024
+TILE = 256
 SEED = 11
 
 
