@@ -146,11 +146,13 @@ def _equal_suffixes(dictionary: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """``row, spans``: start and end (exclusive) of the repeated strings of a text; they may overlap."""
     parsed = cut_lineage(parse(docs))
-    again = parsed.groupBy("trigger").agg(F.count("*").alias("n")).where("n > 1").select("trigger")
+    # Counts are written before they are joined: from files on both sides, Spark can split a crowded trigger.
+    again = cut_lineage(parsed.groupBy("trigger").agg(F.count("*").alias("n")).where("n > 1").select("trigger"))
     live = cut_lineage(parsed.join(again, "trigger"))
     place = F.struct("row", "first", "last")
     phrases = cut_lineage(live.groupBy("trigger", "phrase").agg(F.count("*").alias("n"), F.min(place).alias("place")))
     crowds = phrases.groupBy("trigger").agg(F.count("*").alias("crowd"), F.min("n").alias("least")).where("crowd > 1 and least = 1").drop("least")
+    crowds = cut_lineage(crowds)
     wanted = cut_lineage(phrases.join(crowds, "trigger").select("trigger", "phrase", "crowd", "place.*"))
     per_row = wanted.groupBy("row").agg(F.collect_list(F.struct("trigger", "phrase", "crowd", "first", "last")).alias("picks"))
 
@@ -158,9 +160,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     dictionary = texts.select("text", F.explode("picks").alias("p")).select(
         "p.trigger", "p.phrase", "p.crowd", F.expr("substring(text, p.first + 1, p.last - p.first + {0})".format(MATCH)).alias("bytes"))
     dictionary = cut_lineage(dictionary.distinct())
-    parts = _equal_suffixes(dictionary)
     single = phrases.where("n = 1").select("trigger", "phrase")
-    some = live.join(single, ["trigger", "phrase"], "left_semi").join(parts, ["trigger", "phrase"]).select(
+    parts = cut_lineage(_equal_suffixes(dictionary).join(single, ["trigger", "phrase"], "left_semi"))
+    some = live.join(parts, ["trigger", "phrase"]).select(
         "row", F.inline(F.transform("spans", lambda s: F.struct((s["lo"] + F.col("first")).alias("start"), (s["hi"] + F.col("first") + MATCH).alias("end")))))
     whole = live.join(phrases.where("n > 1").select("trigger", "phrase"), ["trigger", "phrase"], "left_semi").select(
         "row", F.col("first").alias("start"), (F.col("last") + MATCH).alias("end"))
