@@ -413,6 +413,22 @@ def test_lines_match_brute_force(spark, monkeypatch, lane):
             assert kept.get(i) == ("\n".join(left) if any(x.strip() for x in left) else None)
 
 
+@pytest.mark.parametrize("crowded", [False, True])
+def test_lines_at_the_stated_similarity_are_all_found(spark, crowded):
+    rng = random.Random(16)
+    lines = [words(rng, n) for n in (5, 7, 10, 14, 20, 30, 50, 100) for _ in range(3)]
+    texts = {}
+    for i in range(90):
+        line = list(rng.choice(lines))
+        for _ in range(rng.randrange(len(line) // 5 + 2)):
+            at = rng.randrange(len(line))
+            line[at:at + rng.randrange(2)] = [f"v{rng.randrange(10**6)}" for _ in range(rng.randrange(2))]
+        texts[i] = " ".join(line) + "\n" + (" ".join(["common", "beginnings", *words(rng, 12, 10**6)]) if crowded else "x")
+    want = brute.removed_lines(texts, min_words=fuzzy_lines.MIN_WORDS, fuzzy_words=1, radius=64)
+    assert sum(map(len, want.values())) > 30
+    assert {r.doc_id: r.removed_lines for r in fuzzy_lines.line_dedup_report(documents(spark, list(texts.items()))).collect()} == want
+
+
 def test_no_lines_and_null_ids(spark):
     assert fuzzy_lines.line_dedup_report(spark.createDataFrame([], DOCS)).collect() == []
     same = "six words make up this line"
