@@ -416,7 +416,7 @@ def test_lines_match_brute_force(spark, monkeypatch, lane):
 @pytest.mark.parametrize("crowded", [False, True])
 def test_lines_at_the_stated_similarity_are_all_found(spark, crowded):
     rng = random.Random(16)
-    lines = [words(rng, n) for n in (5, 7, 10, 14, 20, 30, 50, 100) for _ in range(3)]
+    lines = [words(rng, n) for n in (3, 4, 5, 7, 10, 14, 20, 30, 50, 100) for _ in range(3)]
     texts = {}
     for i in range(90):
         line = list(rng.choice(lines))
@@ -424,11 +424,17 @@ def test_lines_at_the_stated_similarity_are_all_found(spark, crowded):
             at = rng.randrange(len(line))
             line[at:at + rng.randrange(2)] = [f"v{rng.randrange(10**6)}" for _ in range(rng.randrange(2))]
         texts[i] = " ".join(line) + "\n" + (" ".join(["common", "beginnings", *words(rng, 12, 10**6)]) if crowded else "x")
-    want = brute.removed_lines(texts, min_words=fuzzy_lines.MIN_WORDS, fuzzy_words=1, radius=64)
+    want = brute.removed_lines(texts, min_words=1, fuzzy_words=1, radius=64)
     assert sum(map(len, want.values())) > 30
     assert {r.doc_id: r.removed_lines for r in fuzzy_lines.line_dedup_report(documents(spark, list(texts.items()))).collect()} == want
 
 
+def test_short_and_unspaced_lines_take_part(spark):
+    rows = [(1, "Home\n版权所有，保留一切权利。\n\n---\n \u3000\n***"), (2, "HOME!\n版权所有，保留一切权利\n\n  ---\n \u3000\nown"), (3, "ข้อความซ้ำกันทั้งบรรทัด\na b"), (4, "ข้อความซ้ำกันทั้งบรรทัด\nb a")]
+    got = {r.doc_id: r.removed_lines for r in fuzzy_lines.line_dedup_report(documents(spark, rows)).collect()}
+    assert got == {1: [], 2: [0, 1, 3], 3: [], 4: [0]}
+
+
 def test_no_lines_and_null_ids(spark):
     assert fuzzy_lines.line_dedup_report(spark.createDataFrame([], DOCS)).collect() == []
     same = "six words make up this line"
