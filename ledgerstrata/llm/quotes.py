@@ -1,11 +1,13 @@
 """Quotation linking: reply-ordered conversations without quotes, in DataFrame functions only.
 
 A line that starts with ``>`` marks is quoted; the number of marks is its level. All lines
-of one level in a message form a passage. The passage and each of its lines are normalised
-(one blank for white space, lower case) and hashed. Messages offer the same hashes of what
-they say themselves. A quoted hash leads to the first message of the conversation that
-offers it, if that is earlier than the quoting one. A message replies to the latest message
-that its level 1 quotes lead to; deeper levels are listed as links only.
+of one level in a message form a passage, and so does each contiguous block of them (lines without
+text part blocks). Passages, blocks and lines are normalised (one blank for white space, lower
+case) and hashed. Messages offer the same hashes of what they say themselves: all of it, each
+paragraph between blank, quoted or announcing lines, and each line. A quoted hash leads to the
+first message of the conversation that offers it, if that is earlier than the quoting one. A
+message replies to the latest message that its level 1 quotes lead to; deeper levels are
+listed as links only. The SQL knows no blocks and paragraphs: it agrees where they add no link.
 """
 
 from __future__ import annotations
@@ -31,17 +33,26 @@ def parsed(messages: DataFrame) -> DataFrame:
     m = m.withColumn("line", F.split(F.regexp_replace("text", "\r\n?", "\n"), "\n"))
     m = m.withColumn("level", F.transform("line", lambda x: F.length(F.regexp_replace(F.regexp_extract(x, MARKS, 1), "[^>]", ""))))
     m = m.withColumn("lines", F.arrays_zip("line", "level"))
-    m = m.withColumn("own", F.expr("transform(filter(lines, (x, i) -> x.level = 0 and not "
-                                   f"(coalesce(get(level, i + 1), 0) > 0 and x.line rlike r'{ANNOUNCES}')), x -> x.line)"))
+    own = f"(x.level = 0 and not (coalesce(get(level, i + 1), 0) > 0 and x.line rlike r'{ANNOUNCES}'))"
+    m = m.withColumn("own", F.expr(f"transform(filter(lines, (x, i) -> {own}), x -> x.line)"))
     m = m.withColumn("quoted", F.expr("transform(filter(lines, x -> x.level > 0), x -> struct(x.level as level, "
                                       f"regexp_replace(x.line, r'{MARKS_OF_LINE}', '') as line))"))
+    # Every line as its owner (level, or -1 for an announcing one) and words; a form feed line, which no line can be, parts blocks.
+    m = m.withColumn("spoken", F.expr(f"transform(lines, (x, i) -> struct(if(x.level > 0, x.level, if({own}, 0, -1)) as level, "
+                                      f"{_normal(f"regexp_replace(x.line, r'{MARKS_OF_LINE}', '')")} as line))"))
     return m.drop("line", "level", "lines")
 
 
-def _hashes(lines: str) -> str:
-    """SQL: hashes of an array of lines, as a whole and one by one; blank ones give none."""
+def _blocks(level: str) -> str:
+    """SQL: the contiguous runs of lines of one level in ``spoken``, each as one normal text."""
+    joined = f"array_join(transform(spoken, s -> if(s.level = {level} and s.line <> '', s.line, chr(12))), ' ')"
+    return f"transform(split({joined}, chr(12)), t -> trim(t))"
+
+
+def _hashes(lines: str, blocks: str) -> str:
+    """SQL: hashes of an array of lines, as a whole and one by one, and of its blocks; blank ones give none."""
     normal = _normal("l")
-    return (f"transform(filter(array_union(array({_normal(f'array_join({lines}, chr(10))')}), transform({lines}, l -> {normal})), "
+    return (f"transform(filter(array_union(array_union(array({_normal(f'array_join({lines}, chr(10))')}), transform({lines}, l -> {normal})), {blocks}), "
             "l -> l <> ''), l -> md5(l))")
 
 
@@ -63,11 +74,12 @@ def link_quotes(messages: DataFrame) -> DataFrame:
     quoting = m.where(F.size("quoted") > 0)
     asked = quoting.select("conv_id", "turn", "key", F.expr(
         "explode(transform(array_distinct(quoted.level), v -> struct(v as level, "
-        "transform(filter(quoted, q -> q.level = v), q -> q.line) as lines)))").alias("p"))
-    asked = asked.select("conv_id", "turn", "key", "p.level", F.expr(f"explode({_hashes('p.lines')})").alias("hash"))
+        "transform(filter(quoted, q -> q.level = v), q -> q.line) as lines, "
+        f"{_blocks('v')} as blocks)))").alias("p"))
+    asked = asked.select("conv_id", "turn", "key", "p.level", F.expr(f"explode({_hashes('p.lines', 'p.blocks')})").alias("hash"))
     talks = quoting.select("conv_id").distinct()
     offered = (m.join(talks, "conv_id", "left_semi").where("turn is not null")
-               .select("conv_id", "turn", F.expr(f"explode({_hashes('own')})").alias("hash"))
+               .select("conv_id", "turn", F.expr(f"explode({_hashes('own', _blocks('0'))})").alias("hash"))
                .groupBy("conv_id", "hash").agg(F.min("turn").alias("origin")))
     found = asked.join(offered, ["conv_id", "hash"]).where("origin < turn")
     linked = cut_lineage(found.groupBy("conv_id", "turn", "key").agg(

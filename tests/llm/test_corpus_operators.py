@@ -380,6 +380,19 @@ def test_quotes_match_sql(spark, rows_of):
     assert quotes.formatted(talks.limit(0)).collect() == []
 
 
+def test_quotes_rewrapped_and_answered_between(spark):
+    first = "The first paragraph of the mail is\nwrapped here.\n\nAnd the second one asks\nsomething else of you."
+    talks = [(1, 0, "a", first),
+             (1, 1, "b", "> The first paragraph of\n> the mail is wrapped\n> here.\nYes to that.\n> And the second\n> one asks something else of you.\nNo\nto this."),
+             (1, 2, "a", "> Yes\n> to that.\n>\n>> the first paragraph of the mail is wrapped\n>> here.\nGood."),
+             (1, 3, "b", "> No to this.\n>\n> Unknown words.\nBut why?"),
+             (2, 0, "a", "alpha beta\ngamma delta"), (2, 1, "b", "> beta\n> gamma\nnot said so")]
+    got = quotes.link_quotes(spark.createDataFrame(talks, "conv_id long, turn long, role string, text string")).collect()
+    assert {(r.conv_id, r.turn): (r.reply_to, r.thread, r.links) for r in got if r.turn} == {
+        (1, 1): (0, 0, "1:0"), (1, 2): (1, 0, "1:1,2:0"), (1, 3): (1, 0, "1:1"), (2, 1): (None, 1, "")}
+    assert sum(r.n_quoted for r in got) == 5 + 5 + 3 + 2
+
+
 # 9 ------------------------------------------------------------------ lines
 
 
