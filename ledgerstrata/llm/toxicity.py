@@ -5,7 +5,8 @@ words, so that unseen endings of a known stem still count. The machine has a wei
 term and a short vector per term whose dot products weigh pairs of terms.
 
 The machine is fitted on at most ``FIT_ROWS`` labelled rows that may be learned from, those
-with the smallest id hash, at most half of them of one label. Of their terms the ``TERMS``
+with the smallest id hash, at most half of them of one label; the bias is then set back to the odds
+of all labelled rows, so that a score means the same at every size. Of their terms the ``TERMS``
 that tell the labels apart best enter the machine. All documents are scored.
 """
 
@@ -156,11 +157,15 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
              .select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
              .where(F.crc32(F.col("doc_id").cast("string")) % FOLDS != 0)
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+    marks = cut_lineage(marks)
     chosen_rows = None
     for y in (0, 1):
         part = marks.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS // 2)
         chosen_rows = part if chosen_rows is None else chosen_rows.unionByName(part)
     chosen_rows = cut_lineage(chosen_rows)  # at most FIT_ROWS ids and labels, so a broadcast is bounded
+    everyone, taken = ({r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()} for rows in (marks, chosen_rows))
+    # Log ratio of the true odds of toxic rows to those of the sample; the cut of a label only moves the bias.
+    shift = float(np.log(everyone[1] / taken[1]) - np.log(everyone[0] / taken[0])) if len(taken) == 2 else 0.0
     labelled = cut_lineage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
                            .join(F.broadcast(chosen_rows), "doc_id").dropDuplicates(["doc_id"]))
     totals = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -180,7 +185,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Machine:
     sample = (labelled.select("doc_id", "text", "toxic")
               .mapInPandas(reduce_rows, "doc_id long, toxic int, terms array<int>").collect())
     sample.sort(key=lambda r: (r["doc_id"], r["terms"]))
-    return fit_machine(chosen, [(np.array(r["terms"], dtype=np.int64), r["toxic"]) for r in sample])
+    machine = fit_machine(chosen, [(np.array(r["terms"], dtype=np.int64), r["toxic"]) for r in sample])
+    if n0 and n1:
+        machine.bias += shift
+    return machine
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:

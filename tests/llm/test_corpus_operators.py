@@ -290,6 +290,20 @@ def test_scores_find_held_out_toxic_texts(spark):
     assert toxicity.toxicity_scores(docs.limit(0), labelled).collect() == []
 
 
+def test_scores_keep_the_odds_of_all_labels(spark, monkeypatch):
+    rng = random.Random(10)
+    rows, labels = [], []
+    for i in range(2000):
+        toxic = i % 10 == 0
+        edgy = rng.random() < (0.9 if toxic else 0.3)  # a quarter of the edgy texts is toxic
+        rows.append((i, sentence(rng, 5) + (" edgyword" if edgy else "")))
+        labels.append((i, int(toxic)))
+    monkeypatch.setattr(toxicity, "FIT_ROWS", 300)
+    got = toxicity.toxicity_scores(documents(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+    assert sum(r.predicted for r in got) < 0.1 * len(got)
+    assert abs(sum(r.score for r in got) / len(got) - 0.1) < 0.05
+
+
 # 6 ------------------------------------------------------------------ repeated strings
 
 
