@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerstrata.llm import (
+    collocations,
     compact_windows,
+    curriculum,
     decontaminate,
     edit_counts,
     fuzzy_lines,
@@ -15,6 +17,7 @@ from ledgerstrata.llm import (
     quotes,
     simhash_dedup,
     toxicity,
+    whitening,
 )
 from ledgerstrata.llm.common import table
 
@@ -80,3 +83,18 @@ def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_substring_dedup")
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compact_windows.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query("op11_phrase_collocations", collocations.ORACLE_SQL)
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op12_embedding_whitening")
+def embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_source_mixing", curriculum.ORACLE_SQL)
+def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curriculum.mixed(table(spark, sf_dir, "documents"))
