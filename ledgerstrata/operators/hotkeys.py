@@ -18,8 +18,9 @@ from ..config import cut_lineage
 
 #: Rows one key may hold before its windows are sliced.
 HOT_ROWS = 2_000_000
-#: Most hot keys sent to every executor; above, they are joined by shuffle.
-MAX_BROADCAST_KEYS = 100_000
+
+#: Range partitions per core that hot keys are sorted in.
+TASKS_PER_CORE = 4
 
 SLICE = "_slice"
 
@@ -35,15 +36,14 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
     """Keys with more than ``hot_rows`` rows, or None when there are none.
 
     Reads the key columns only; the count is combined before the shuffle. There
-    are at most ``rows / hot_rows`` such keys; they are kept as a small table
-    and broadcast while their number is below a fixed bound.
+    are at most ``rows / hot_rows`` such keys; they are kept as a small table, which
+    Spark broadcasts while its size is below its own limit.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     hot = counts.where(F.col("_rows") > hot_rows).select(*keys)
     if hot.isEmpty():
         return None
-    hot = cut_lineage(hot)
-    return F.broadcast(hot) if hot.count() <= MAX_BROADCAST_KEYS else hot
+    return cut_lineage(hot)
 
 
 def split_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -52,13 +52,18 @@ def split_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[DataF
 
 
 def in_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], slice_rows: int) -> DataFrame:
-    """The rows with their slice number, about ``slice_rows`` to a slice.
+    """The rows with their slice number, at most ``slice_rows`` to a slice.
 
-    Spark samples the borders. Within a key the slice numbers follow the order;
-    rows that are equal in it share a slice, so end the order with a column
-    that tells crowded moments apart. The numbered rows are written, as a
-    repeated task might number them otherwise.
+    Spark samples the borders of a few partitions per core; within each, sorted, every
+    ``slice_rows`` rows are a slice. So the number of tasks and files follows the
+    cluster, not ``slice_rows``. Slice numbers follow the order, and rows that are equal in it may lie in neighbouring
+    slices. The numbered rows are written, as a repeated task might number them otherwise.
     """
-    slices = max(2, -(-df.count() // slice_rows))
-    ranged = df.repartitionByRange(slices, *(F.col(k) for k in keys), *order)
-    return cut_lineage(ranged.withColumn(SLICE, F.spark_partition_id()))
+    spark = df.sparkSession
+    most = max(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = min(most, max(2, -(-df.count() // slice_rows)))
+    by = [*(F.col(k) for k in keys), *order]
+    ranged = df.repartitionByRange(parts, *by).sortWithinPartitions(*by)
+    place = F.monotonically_increasing_id()  # the partition in the upper bits, the row in the lower 33
+    row = place.bitwiseAND(F.lit((1 << 33) - 1))
+    return cut_lineage(ranged.withColumn(SLICE, place - row + F.floor(row / slice_rows)))
