@@ -518,3 +518,42 @@ ORACLE |= {
     "stream_rule_metrics": f"SELECT * FROM ({ORACLE['quality_metrics']}) WHERE entity IN ('customers', 'accounts')",
     "balances_through_csv": ORACLE["account_balances_silver"],
 }
+
+_COPIES = """(
+  WITH base AS (
+    SELECT o_custkey || '-' || o_orderpriority AS account_id, CAST(o_custkey AS VARCHAR) AS customer_id, o_custkey AS number,
+           o_orderpriority AS typ_uctu, o_orderstatus AS stav, 'CZK' AS mena, '1995-01-01' AS datum_otevreni,
+           CAST(NULL AS VARCHAR) AS datum_uzavreni
+    FROM orders WHERE o_orderkey % 41 <> 0
+    QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderpriority ORDER BY o_orderkey DESC) = 1)
+  SELECT * EXCLUDE (number, d) REPLACE (CASE WHEN number % 20 BETWEEN 1 AND d THEN 'X' || (number % 20) ELSE stav END AS stav),
+         DATE '2024-01-01' + CAST(d AS INTEGER) AS snapshot_date, d AS ord FROM base, range(0, 4) days(d)
+  UNION ALL
+  SELECT * EXCLUDE (number) REPLACE ('L' AS stav), DATE '2024-01-02', 4 FROM base WHERE number % 50 = 7)"""
+
+ORACLE |= {
+    "stream_scd2_unchanged": scd2(
+        _COPIES, "account_id customer_id", "snapshot_date", "typ_uctu stav mena datum_otevreni datum_uzavreni", "ord",
+        "__START_AT", "__END_AT", "TIMESTAMP"),
+    "rescue_by_header": _ask("""
+      SELECT card_transaction_id, card_id, CASE WHEN part = 3 AND city_id = '3' THEN NULL ELSE amount END AS amount,
+             typ_transakce, city_id, CASE WHEN part <> 2 THEN region_id END AS region_id,
+             CASE WHEN part = 2 THEN 'said "' || card_id || '", then left' END AS rescued_note,
+             CASE WHEN part = 3 AND city_id = '3' THEN 'n/a' END AS rescued_amount,
+             CASE WHEN part = 2 THEN 'widened' WHEN part = 3 AND city_id = '3' THEN 'mistyped' END AS rescued_from
+      FROM (SELECT *, CAST(card_id AS BIGINT) % 4 AS part FROM tx_card)"""),
+    "stream_rule_metrics_observed": f"""
+      SELECT m.*, w.written_rows FROM ({ORACLE['stream_rule_metrics']}) m JOIN (
+        {_ask("SELECT 'customers' AS entity, count(*) AS written_rows FROM clean_customers UNION ALL SELECT 'accounts', count(*) FROM clean_accounts")}
+      ) w ON w.entity = m.entity""",
+    "stream_join_bounded": """
+      WITH paid AS (SELECT l_orderkey AS card, l_linenumber AS line, l_partkey AS part, CAST(l_shipdate AS TIMESTAMP) AS paid_at FROM lineitem),
+      ordered AS (SELECT o_orderkey AS card, o_orderpriority AS priority, CAST(o_orderdate AS TIMESTAMP) AS ordered_at
+                  FROM orders WHERE o_orderkey % 3 <> 0),
+      mark AS (SELECT least((SELECT max(paid_at) FROM paid WHERE card % 10 <> 3),
+                            (SELECT max(ordered_at) FROM ordered WHERE card % 10 <> 3)) - INTERVAL 90 DAY AS reached),
+      p AS (SELECT paid.* FROM paid, mark WHERE card % 10 <> 3 OR paid_at > reached),
+      o AS (SELECT ordered.* FROM ordered, mark WHERE card % 10 <> 3 OR ordered_at > reached)
+      SELECT p.*, o.priority, o.ordered_at, o.card IS NOT NULL AS matched
+      FROM p LEFT JOIN o ON o.card = p.card AND o.ordered_at <= p.paid_at AND o.ordered_at >= p.paid_at - INTERVAL 60 DAY""",
+}

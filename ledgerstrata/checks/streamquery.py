@@ -19,7 +19,7 @@ from ..plans import gold, monitors, reports, silver
 from ..schemas import INGESTED, LANDING, RESCUED, SOURCE_FILE, bronze_schema
 from ..sources.landing import read_landing
 from ..sources.tables import compact, declare, path_of, publish, read_table, refresh, reset, write_table
-from ..streaming import feeds
+from ..streaming import feeds, matching
 from ..streaming.facts import FactFeed, read_feed
 from ..streaming.history import HistoryFeed
 from .sparkquery import SETTINGS, Bank, query
@@ -94,6 +94,98 @@ def stream_scd2(spark, sf_dir):
     return HistoryFeed(spark, bank.settings, "accounts").history()
 
 
+@query
+def stream_scd2_unchanged(spark, sf_dir):
+    """Account history from four full copies of which few rows differ, and a late correction of some accounts."""
+    bank = _bank(spark, sf_dir, "copies")
+    keys, number = ["account_id", "customer_id"], F.col("customer_id").cast("int")
+    newest = F.max_by(F.struct("typ_uctu", "stav", "mena", "datum_otevreni", "datum_uzavreni"), INGESTED)
+    accounts = cut_lineage(bank.raw("accounts").where("mena IS NOT NULL").groupBy(*keys).agg(newest.alias("v")).select(*keys, "v.*"))
+
+    def deliver(rows: DataFrame, day: int, nr: int) -> None:
+        dated = rows.withColumn("snapshot_date", F.date_add(F.lit("2024-01-01").cast("date"), day)).withColumn(INGESTED, F.timestamp_seconds(F.lit(nr)))
+        _store_raw(bank, "accounts", dated, "append")
+        HistoryFeed(spark, bank.settings, "accounts").run().awaitTermination()
+
+    for day in range(4):
+        changed = (number % 20).between(1, day)
+        deliver(accounts.withColumn("stav", F.when(changed, F.concat(F.lit("X"), number % 20)).otherwise(F.col("stav"))), day, day)
+    deliver(accounts.where(number % 50 == 7).withColumn("stav", F.lit("L")), 1, 4)
+    return HistoryFeed(spark, bank.settings, "accounts").history()
+
+
+@query
+def rescue_by_header(spark, sf_dir):
+    """Payments from files with moved, added, missing and unreadable columns, in one stream bound by header."""
+    bank = _bank(spark, sf_dir, "rescue")
+    columns = list(LANDING["card_transactions"])
+    landing = f"{bank.settings.root}/landing_data"
+    rows = bank.raw("card_transactions").select(*(F.col(c).cast("string") for c in columns))
+    part = F.pmod(F.col("card_id").cast("long"), F.lit(4))
+    files = {
+        "expected": rows.where(part == 0),
+        "moved": rows.where(part == 1).select(*reversed(columns)),
+        "widened": rows.where(part == 2).withColumn("note", F.concat(F.lit('said "'), F.col("card_id"), F.lit('", then left'))).drop("region_id"),
+        "mistyped": rows.where(part == 3).withColumn("amount", F.when(F.col("city_id") == "3", "n/a").otherwise(F.col("amount"))),
+    }
+    for name, content in files.items():
+        content.write.csv(f"{landing}/card_transactions/{name}", header=True, quote='"', escape='"')
+    feeds.ingest(spark, bank.settings, landing, "card_transactions", by_header=True, types={"amount": "decimal(20,2)"}).awaitTermination()
+    raw = read_table(spark, bank.settings, "card_transactions_bronze")
+    rescued = {c: F.get_json_object(RESCUED, f"$.{c}") for c in ("note", "amount")}
+    folder = F.regexp_extract(F.get_json_object(RESCUED, "$._file_path"), "/card_transactions/([a-z]+)/", 1)
+    return raw.select(
+        "card_transaction_id", "card_id", F.col("amount").cast("decimal(20,2)").alias("amount"), "typ_transakce", "city_id", "region_id",
+        rescued["note"].alias("rescued_note"), rescued["amount"].alias("rescued_amount"), folder.alias("rescued_from"))
+
+
+@query
+def stream_rule_metrics_observed(spark, sf_dir):
+    """Rule counts of customers and accounts, observed while their rows are written, file by file."""
+    bank = _bank(spark, sf_dir, "observed")
+    for entity in ("customers", "accounts"):
+        _store_raw(bank, entity)
+        feeds.clean_and_count(spark, bank.settings, entity, max_files=1).awaitTermination()
+    written = [read_table(spark, bank.settings, f"{e}_clean_silver").select(F.lit(e).alias("entity")) for e in ("customers", "accounts")]
+    rows = written[0].unionByName(written[1]).groupBy("entity").agg(F.count(F.lit(1)).alias("written_rows"))
+    return feeds.rule_totals(spark, bank.settings).join(rows, "entity")
+
+
+#: How far a card's order may lie before a payment, and how late rows of both streams may come.
+WITHIN_DAYS, DELAY_DAYS = 60, 90
+
+
+@query
+def stream_join_bounded(spark, sf_dir):
+    """Payments met with the orders of their cards up to 60 days before, with late rows on both sides.
+
+    A tenth of both arrives last; what lies behind the watermark by then is lost on both sides. A last row
+    far in the future on each side closes the streams.
+    """
+    bank = _bank(spark, sf_dir, "bounded")
+    root = bank.settings.root
+    sides = {
+        "paid": bank.table("lineitem").selectExpr("l_orderkey AS card", "l_linenumber AS line", "l_partkey AS part", "CAST(l_shipdate AS TIMESTAMP) AS paid_at"),
+        "ordered": bank.table("orders").where("o_orderkey % 3 <> 0").selectExpr("o_orderkey AS card", "o_orderpriority AS priority", "CAST(o_orderdate AS TIMESTAMP) AS ordered_at"),
+    }
+    times = {"paid": "paid_at", "ordered": "ordered_at"}
+    early, late = "card % 10 <> 3", "card % 10 = 3"
+    for chosen in (f"{early} AND {{at}} < '1995-01-01'", f"{early} AND {{at}} >= '1995-01-01'", late, None):
+        for side, rows in sides.items():
+            if chosen is None:
+                end = spark.createDataFrame([(-1,)], "card long").withColumn(times[side], F.lit("2100-01-01").cast("timestamp"))
+                part = rows.limit(0).unionByName(end, allowMissingColumns=True)
+            else:
+                part = rows.where(chosen.format(at=times[side]))
+            part.write.mode("append").parquet(f"{root}/{side}")
+        streams = [spark.readStream.schema(rows.schema).parquet(f"{root}/{side}") for side, rows in sides.items()]
+        pairs = matching.matched_in_time(*streams, ["card"], *times.values(), within=f"{WITHIN_DAYS} days", delay=f"{DELAY_DAYS} days")
+        matching.store_matches(pairs, f"{root}/pairs", f"{root}/checkpoint").awaitTermination()
+    found = matching.read_matches(spark, f"{root}/pairs", pairs)
+    waiting = matching.read_matches(spark, f"{root}/pairs", pairs, matched=False)
+    return found.unionByName(waiting).where("card >= 0")
+
+
 def _run_fact_feeds(bank: Bank) -> None:
     owners = bank.owners()
     chains = {

@@ -32,7 +32,7 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 def is_streamed(spark: SparkSession, settings: Settings, name: str) -> bool:
     """Whether a stream owns the table's files; nobody else may rewrite them."""
-    return exists(spark, f"{path_of(settings, name)}/_spark_metadata")
+    return any(exists(spark, f"{path_of(settings, name)}/{mark}") for mark in ("_spark_metadata", "batch=0"))
 
 
 def schema_of(spark: SparkSession, settings: Settings, name: str) -> T.StructType:
@@ -56,12 +56,16 @@ def read_table(spark: SparkSession, settings: Settings, name: str) -> DataFrame:
     reader = spark.read
     if TABLES[name].partitions(settings):
         reader = reader.schema(schema_of(spark, settings, name))
+    else:  # files may lie in folders of micro-batches, which are no partitions
+        reader = reader.option("recursiveFileLookup", True)
     return reader.parquet(path_of(settings, name))
 
 
 def stream_table(spark: SparkSession, settings: Settings, name: str, max_files: int = 10_000) -> DataFrame:
     """Rows appended to a table, as a stream; ``max_files`` bounds one micro-batch."""
     reader = spark.readStream.schema(schema_of(spark, settings, name))
+    if not TABLES[name].partitions(settings):
+        reader = reader.option("recursiveFileLookup", True)
     return reader.option("maxFilesPerTrigger", max_files).parquet(path_of(settings, name))
 
 
