@@ -410,9 +410,7 @@ def test_quotes_rewrapped_and_answered_between(spark):
 # 9 ------------------------------------------------------------------ lines
 
 
-@pytest.mark.parametrize("lane", [16_383, 20])
-def test_lines_match_brute_force(spark, monkeypatch, lane):
-    monkeypatch.setattr(fuzzy_lines, "LANE_WORDS", lane)
+def test_lines_match_brute_force(spark):
     rng = random.Random(15)
     lines = [words(rng, n) for n in (3, 5, 9, 12, 20, 40, 60, 90) for _ in range(4)]
     texts = {}
@@ -426,7 +424,7 @@ def test_lines_match_brute_force(spark, monkeypatch, lane):
         texts[i] = "\n".join(own)
     texts |= {70: None, 71: "", 72: "\n\n \n", 73: texts[0], 74: " ".join(words(rng, 3000)), 75: "Straße ÉCOLE naïve façade über"}
     docs = documents(spark, [*texts.items(), (73, texts[73])])
-    want = brute.removed_lines(texts)
+    want = brute.removed_lines(texts, min_words=1, fuzzy_words=1, radius=64)
     got = fuzzy_lines.line_dedup_report(docs).collect()
     assert len(got) == len(texts) + 1
     for r in got:
@@ -456,6 +454,26 @@ def test_lines_at_the_stated_similarity_are_all_found(spark, crowded):
     assert {r.doc_id: r.removed_lines for r in fuzzy_lines.line_dedup_report(documents(spark, list(texts.items()))).collect()} == want
 
 
+def test_other_words_are_no_near_lines(spark):
+    """Two of five words differ: similarity 0.6, whatever characters stand for the words."""
+    rows = [(1, "mem understanding philosophical arrangements carefully"), (2, "cek understanding philosophical arrangements slowly")]
+    assert all(r.n_removed == 0 for r in fuzzy_lines.line_dedup_report(documents(spark, rows)).collect())
+
+
+def test_share_of_long_lines_found(spark):
+    """Lines of 40 to 120 words at similarity 0.8 to 0.85: nearly all are linked (0.989 expected at worst)."""
+    rng = random.Random(17)
+    rows, pairs = [], 150
+    for i in range(pairs):
+        line = words(rng, rng.randrange(40, 120), 10**6)
+        near = list(line)
+        for at in rng.sample(range(len(line)), int(len(line) * rng.choice([0.15, 0.2]))):
+            near[at] = f"v{rng.randrange(10**6)}"
+        rows += [(2 * i, " ".join(line)), (2 * i + 1, " ".join(near))]
+    found = sum(r.n_removed for r in fuzzy_lines.line_dedup_report(documents(spark, rows)).collect())
+    assert found >= 0.95 * pairs
+
+
 def test_short_and_unspaced_lines_take_part(spark):
     rows = [(1, "Home\n版权所有，保留一切权利。\n\n---\n \u3000\n***"), (2, "HOME!\n版权所有，保留一切权利\n\n  ---\n \u3000\nown"), (3, "ข้อความซ้ำกันทั้งบรรทัด\na b"), (4, "ข้อความซ้ำกันทั้งบรรทัด\nb a")]
     got = {r.doc_id: r.removed_lines for r in fuzzy_lines.line_dedup_report(documents(spark, rows)).collect()}
