@@ -40,8 +40,8 @@ def header_table(spark: SparkSession, files: Iterable[str]) -> DataFrame:
 def header_names(header: str) -> list[str]:
     """Column names of a header line: trimmed, lower case, no byte order mark, repeated ones numbered."""
     names: list[str] = []
-    for raw in next(csv.reader([header.rstrip("\r")]), []):
-        name = raw.lstrip("﻿").strip().lower() or "_unnamed"
+    for raw in next(csv.reader([header.lstrip("\ufeff").rstrip("\r")], skipinitialspace=True), []):
+        name = raw.strip().lower() or "_unnamed"
         nr = sum(n == name or n.startswith(f"{name}__") for n in names)
         names.append(f"{name}__{nr + 1}" if nr else name)
     return names

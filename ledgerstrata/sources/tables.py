@@ -13,7 +13,8 @@ from ..catalog import FACTS, METRICS, TABLES
 from ..config import Settings
 from ..schemas import SNAPSHOT_ENTITIES, bronze_schema
 
-
+#: Folder (``batch=N``) of a table that micro-batches write, each its own; no column of the table.
+BATCH = "batch"
 #: Tables that the streaming chain keeps as increments of its own.
 FED = frozenset({FACTS, METRICS, *(f"dim_{e}" for e in SNAPSHOT_ENTITIES)})
 
@@ -32,7 +33,7 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 def is_streamed(spark: SparkSession, settings: Settings, name: str) -> bool:
     """Whether a stream owns the table's files; nobody else may rewrite them."""
-    return any(exists(spark, f"{path_of(settings, name)}/{mark}") for mark in ("_spark_metadata", "batch=0"))
+    return any(exists(spark, f"{path_of(settings, name)}/{mark}") for mark in ("_spark_metadata", f"{BATCH}=0"))
 
 
 def schema_of(spark: SparkSession, settings: Settings, name: str) -> T.StructType:
@@ -56,17 +57,14 @@ def read_table(spark: SparkSession, settings: Settings, name: str) -> DataFrame:
     reader = spark.read
     if TABLES[name].partitions(settings):
         reader = reader.schema(schema_of(spark, settings, name))
-    else:  # files may lie in folders of micro-batches, which are no partitions
-        reader = reader.option("recursiveFileLookup", True)
-    return reader.parquet(path_of(settings, name))
+    return reader.parquet(path_of(settings, name)).drop(BATCH)
 
 
 def stream_table(spark: SparkSession, settings: Settings, name: str, max_files: int = 10_000) -> DataFrame:
     """Rows appended to a table, as a stream; ``max_files`` bounds one micro-batch."""
-    reader = spark.readStream.schema(schema_of(spark, settings, name))
-    if not TABLES[name].partitions(settings):
-        reader = reader.option("recursiveFileLookup", True)
-    return reader.option("maxFilesPerTrigger", max_files).parquet(path_of(settings, name))
+    schema = schema_of(spark, settings, name)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+    return reader.parquet(path_of(settings, name)).select(*schema.names)
 
 
 def declare(spark: SparkSession, settings: Settings, name: str) -> None:
@@ -89,6 +87,13 @@ def write_table(df: DataFrame, settings: Settings, name: str) -> None:
     (writer.partitionBy(*parts) if parts else writer).parquet(path_of(settings, name))
 
 
+def write_batch(df: DataFrame, settings: Settings, name: str, batch: int) -> None:
+    """Replace what a micro-batch has written of a table."""
+    parts = TABLES[name].partitions(settings)
+    writer = sized_for_writing(df, parts).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*parts) if parts else writer).parquet(f"{path_of(settings, name)}/{BATCH}={batch}")
+
+
 def refresh(spark: SparkSession, settings: Settings, names: Iterable[str] | None = None) -> None:
     """Rebuild derived tables (default: all of them) from the raw ones.
 

@@ -15,7 +15,7 @@ from ..plans import silver
 from ..schemas import SNAPSHOT_ENTITIES
 from ..sources.headers import header_table, read_by_header
 from ..sources.landing import stream_landing
-from ..sources.tables import exists, path_of, stream_table
+from ..sources.tables import exists, path_of, stream_table, write_batch
 
 
 def checkpoint_of(settings: Settings, query: str) -> str:
@@ -64,7 +64,7 @@ def ingest_by_header(
         header_table(spark, files).coalesce(1).write.mode("overwrite").parquet(noted)
         headers = spark.read.schema("file string, header string").parquet(noted)
         found = read_by_header(spark, files, entity, types=types, multi_line=multi_line, headers=headers)
-        found.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+        write_batch(found, settings, f"{entity}_bronze", batch)
 
     listed = (spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
               .option("recursiveFileLookup", True).option("maxFilesPerTrigger", max_files).load(f"{landing.rstrip('/')}/{entity}").select("path"))
@@ -87,11 +87,11 @@ def clean_and_count(spark: SparkSession, settings: Settings, entity: str, **opti
     folders of their own; a repeated batch replaces both.
     """
     rules = quality.rules_for(entity, settings)
-    path = _own_folders(spark, settings, f"{entity}_clean_silver")
+    _own_folders(spark, settings, f"{entity}_clean_silver")
 
     def take(rows: DataFrame, batch: int) -> None:
         passing, observation = quality.observed(silver.clean_snapshot(entity, rows, settings), rules, f"{entity}_{batch}")
-        passing.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+        write_batch(passing, settings, f"{entity}_clean_silver", batch)
         seen = observation.get
         counts = [(rule, seen[f"{rule}__passed"], seen[f"{rule}__failed"]) for rule in rules]
         (spark.createDataFrame(counts, "rule string, passed_rows long, failed_rows long").coalesce(1)
