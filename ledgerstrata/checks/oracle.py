@@ -557,3 +557,15 @@ ORACLE |= {
       SELECT p.*, o.priority, o.ordered_at, o.card IS NOT NULL AS matched
       FROM p LEFT JOIN o ON o.card = p.card AND o.ordered_at <= p.paid_at AND o.ordered_at >= p.paid_at - INTERVAL 60 DAY""",
 }
+
+ORACLE |= {
+    "stream_fact_native": ORACLE["fact_union"],
+    "stream_mart_native": ORACLE["exec_dashboard"],
+    "exec_dashboard_incremental": ORACLE["exec_dashboard_cards"],
+    "tx_trends_incremental": ORACLE["tx_trends"],
+    "daily_activity_merged": ORACLE["daily_activity"],
+    "account_lifecycle_by_day": _ask("""
+      SELECT typ_uctu, stav, CAST(d AS DATE) AS day, count(*) AS pocet_uctu
+      FROM dim_accounts, generate_series(TIMESTAMP '1998-01-01', TIMESTAMP '1998-06-30', INTERVAL 1 DAY) days(d)
+      WHERE __START_AT <= d AND (__END_AT IS NULL OR d < __END_AT) GROUP BY ALL"""),
+}

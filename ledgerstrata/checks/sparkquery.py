@@ -14,6 +14,7 @@ from ..operators import quality
 from ..operators.asof import asof_join
 from ..operators.latest import latest_per_key, surplus_owners
 from ..operators.scd2 import current, scd2, valid_at
+from ..operators.sweep import open_by_day
 from ..plans import gold, monitors, reports, roles, silver
 from ..schemas import INGESTED, LANDING, SNAPSHOT
 
@@ -452,6 +453,13 @@ def account_lifecycle(spark, sf_dir):
     return reports.account_lifecycle(current(Bank(spark, sf_dir).dimension("accounts")))
 
 
+@query
+def account_lifecycle_by_day(spark, sf_dir):
+    """Open accounts by type and status at the close of each day of half a year."""
+    history = Bank(spark, sf_dir).dimension("accounts")
+    return open_by_day(history, ["typ_uctu", "stav"], dt.date(1998, 1, 1), dt.date(1998, 6, 30), count="pocet_uctu")
+
+
 @query
 def tx_with_customer(spark, sf_dir):
     bank = Bank(spark, sf_dir)

@@ -7,6 +7,7 @@ scratch space, runs the streams over them and reads back what they wrote.
 from __future__ import annotations
 
 import dataclasses
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,9 +20,10 @@ from ..plans import gold, monitors, reports, silver
 from ..schemas import INGESTED, LANDING, RESCUED, SOURCE_FILE, bronze_schema
 from ..sources.landing import read_landing
 from ..sources.tables import compact, declare, path_of, publish, read_table, refresh, reset, write_table
-from ..streaming import feeds, matching
+from ..streaming import feeds, matching, native
 from ..streaming.facts import FactFeed, read_feed
 from ..streaming.history import HistoryFeed
+from ..streaming.marts import MartFeed
 from .sparkquery import SETTINGS, Bank, query
 
 
@@ -226,6 +228,61 @@ def stream_fact_late_dimension(spark, sf_dir):
     return read_table(spark, bank.settings, FACTS)
 
 
+def _native_chain(bank: Bank) -> None:
+    """Both transaction tables through the append streams, in two rounds."""
+    owners = bank.owners()
+    dimensions = [owners, bank.card_owners(owners), *bank.places()]
+    for part in (0, 1):
+        for entity, key in (("card_transactions", "card_transaction_id"), ("financial_transactions", "transaction_id")):
+            _store_raw(bank, entity, bank.raw(entity).where(F.pmod(F.xxhash64(key), F.lit(2)) == part), "append")
+            feeds.clean(bank.spark, bank.settings, entity).awaitTermination()
+        native.stream_facts(bank.spark, bank.settings, *dimensions).awaitTermination()
+        native.stream_metrics(bank.spark, bank.settings).awaitTermination()
+
+
+@query
+def stream_fact_native(spark, sf_dir):
+    """All transactions through the native stream-static joins."""
+    bank = _bank(spark, sf_dir, "native")
+    _native_chain(bank)
+    return read_table(spark, bank.settings, FACTS)
+
+
+@query
+def stream_mart_native(spark, sf_dir):
+    """The dashboard asked of the metrics that stream from the fact table."""
+    bank = _bank(spark, sf_dir, "mart")
+    _native_chain(bank)
+    return reports.executive_dashboard(read_table(spark, bank.settings, METRICS), 2024, 1)
+
+
+def _fed_marts(spark: SparkSession, sf_dir: str, label: str) -> MartFeed:
+    """All metrics in three batches of which the second comes twice, first with other rows."""
+    bank = _bank(spark, sf_dir, label)
+    metrics = cut_lineage(bank.metrics())
+    feed, part = MartFeed(spark, bank.settings), F.pmod(F.xxhash64("transaction_id", "amount"), F.lit(3))
+    feed.take(metrics.where(part == 0), 0)
+    feed.take(metrics.where(part == 2), 1)
+    feed.take(metrics.where(part == 1), 1)
+    feed.take(metrics.where(part == 2), 2)
+    return feed
+
+
+@query
+def exec_dashboard_incremental(spark, sf_dir):
+    return _fed_marts(spark, sf_dir, "dashboard").executive_dashboard(1998, 6)
+
+
+@query
+def tx_trends_incremental(spark, sf_dir):
+    return _fed_marts(spark, sf_dir, "trends").transaction_trends(dt.date(1998, 1, 1))
+
+
+@query
+def daily_activity_merged(spark, sf_dir):
+    return _fed_marts(spark, sf_dir, "activity").daily_activity()
+
+
 @query
 def stream_rule_metrics(spark, sf_dir):
     """Rule counts of customers and accounts, file by file."""
