@@ -569,3 +569,11 @@ ORACLE |= {
       FROM dim_accounts, generate_series(TIMESTAMP '1998-01-01', TIMESTAMP '1998-06-30', INTERVAL 1 DAY) days(d)
       WHERE __START_AT <= d AND (__END_AT IS NULL OR d < __END_AT) GROUP BY ALL"""),
 }
+
+ORACLE |= {
+    "compacted_partitions": _ask("""
+      SELECT transaction_year, transaction_month, count(*) AS rows, CAST(1 AS BIGINT) AS files,
+             TRUE AS some_rewritten, CAST(0 AS BIGINT) AS rewritten_again FROM facts_card GROUP BY ALL"""),
+    "card_fact_bucketed": ORACLE["card_fact"],
+    "key_history_stored": ORACLE["key_history"],
+}

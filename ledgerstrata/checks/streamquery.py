@@ -19,6 +19,7 @@ from ..functions import values
 from ..plans import gold, monitors, reports, silver
 from ..schemas import INGESTED, LANDING, RESCUED, SOURCE_FILE, bronze_schema
 from ..sources.landing import read_landing
+from ..sources.layouts import compact_crowded, partition_files, write_bucketed, write_for_lookup
 from ..sources.tables import compact, declare, path_of, publish, read_table, refresh, reset, write_table
 from ..streaming import feeds, matching, native
 from ..streaming.facts import FactFeed, read_feed
@@ -331,6 +332,42 @@ def compacted_month(spark, sf_dir):
                      F.countDistinct("file").alias("files"))
 
 
+@query
+def compacted_partitions(spark, sf_dir):
+    """Card facts in several files a month, all crowded months compacted at once, and asked again."""
+    bank = _bank(spark, sf_dir, "crowded")
+    bank.card_facts().repartition(4).write.partitionBy(*PERIOD).parquet(path_of(bank.settings, FACTS))
+    rewritten = compact_crowded(spark, bank.settings, FACTS)
+    again = compact_crowded(spark, bank.settings, FACTS)
+    rows = read_table(spark, bank.settings, FACTS).groupBy(*PERIOD).agg(F.count(F.lit(1)).alias("rows"))
+    files = partition_files(spark, bank.settings, FACTS).select(*PERIOD, F.col("files").alias("files"))
+    return rows.join(files, list(PERIOD)).withColumns({"some_rewritten": F.lit(rewritten > 0), "rewritten_again": F.lit(again).cast("long")})
+
+
+@query
+def card_fact_bucketed(spark, sf_dir):
+    """Card facts from transactions and owners stored in buckets by card, which meet without a shuffle."""
+    bank = _bank(spark, sf_dir, "buckets")
+    settings = dataclasses.replace(bank.settings, env=f"q{uuid.uuid4().hex[:8]}")
+    stored = {"transactions": bank.fact_source("card_transactions"), "owners": bank.card_owners()}
+    names = {name: write_bucketed(rows, settings, name, ["card_id"], 16) for name, rows in stored.items()}
+    tables = {name: spark.table(full) for name, full in names.items()}
+    facts = cut_lineage(gold.card_facts(tables["transactions"], tables["owners"], *bank.places(), settings))
+    for full in names.values():
+        spark.sql(f"DROP TABLE {full}")
+    spark.sql(f"DROP DATABASE {settings.schema('bucketed')}")
+    return facts
+
+
+@query
+def key_history_stored(spark, sf_dir):
+    """Income history of one customer from a history stored for look-ups."""
+    bank = _bank(spark, sf_dir, "lookup")
+    path = f"{bank.settings.root}/dim_customers"
+    write_for_lookup(bank.dimension("customers"), path, ["customer_id"])
+    return reports.income_history(spark.read.parquet(path), "7")
+
+
 @query
 def declared_table(spark, sf_dir):
     """A table declared empty, published under its environment, filled, and dropped from the catalog."""
