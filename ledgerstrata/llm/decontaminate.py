@@ -112,7 +112,8 @@ class _Index:
 class Benchmark:
     """A bounded part of the benchmark, ready to be asked; ``df`` counts over the whole of it."""
 
-    def __init__(self, items: list[tuple[int, str]], df: dict[bytes, int], n_items: int, mean_words: float):
+    def __init__(self, items: list[tuple[int, str]], df: dict[bytes, int], n_items: int, mean_words: float, names: dict[int, int | None]):
+        self.names = names
         self.vocabulary = {w: i + 1 for i, w in enumerate(sorted(df))}
         by_class: dict[int, list[tuple[int, str]]] = {}
         for item in items:
@@ -168,10 +169,11 @@ class Benchmark:
 def benchmarks(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> list[Benchmark]:
     """The benchmark in parts of about ``INDEX_BYTES`` of text, with term statistics of all of it.
 
-    Items whose id or text is null are left out; of repeated ids one text counts.
+    An item is an id, null or not, with a text; each has a number of its own, and ``names`` says which id it has. So
+    benchmarks joined from several sets may use an id twice. Rows without a text are left out, repeated ones count once.
     """
-    items = cut_lineage(items.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
-                        .groupBy(F.col(id_col).cast("long").alias("id")).agg(F.min(F.col(text_col).cast("string")).alias("text")))
+    items = items.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("long").alias("name"), F.col(text_col).cast("string").alias("text")).distinct()
+    items = cut_lineage(items.withColumn("id", F.xxhash64(F.col("name").isNull(), F.coalesce("name", F.lit(0)), "text")))
 
     def item_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -195,14 +197,15 @@ def benchmarks(items: DataFrame, id_col: str = "item_id", text_col: str = "text"
         own = items.where(F.col("part") == part)
         mine = own.mapInPandas(item_words, "id long, word binary").select("word").distinct()
         counts = {bytes(r["word"]): r["df"] for r in df.join(mine, "word").collect()}
-        out.append(Benchmark([(r["id"], r["text"]) for r in own.orderBy("id").collect()], counts, sizes["n"], mean))
+        held = own.orderBy("id").collect()
+        out.append(Benchmark([(r["id"], r["text"]) for r in held], counts, sizes["n"], mean, {r["id"]: r["name"] for r in held}))
     return out
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """``doc_id, item_id, first_word, overlap, question_overlap, answer_overlap`` of each leak.
 
-    One row per document row and leaked item: the passage that holds the item best. A leak
+    One row per document row and leaked item (an id with one of its texts): the passage that holds the item best. A leak
     has ``OVERLAP`` or more of the item's shingles in one passage, or of both its question
     and its answer. Whole texts are searched; null and empty texts and items have no leak;
     repeated rows are each searched; a null id stays null; other columns are not read.
@@ -214,9 +217,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id") -> Dat
     for benchmark in benchmarks(items):
         def per_batch(batches: Iterator[pd.DataFrame], benchmark=benchmark) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                hits = [(i, item, *hit) for i, t in zip(batch["id"], batch["text"]) for item, hit in benchmark.search(t).items()]
+                hits = [(i, benchmark.names[item], *hit) for i, t in zip(batch["id"], batch["text"]) for item, hit in benchmark.search(t).items()]
                 out = pd.DataFrame(hits, columns=["id", "item_id", "first_word", "overlap", "question_overlap", "answer_overlap"])
-                yield out.astype({"id": "Int64"})
+                yield out.astype({"id": "Int64", "item_id": "Int64"})
 
         part = rows.mapInPandas(per_batch, schema)
         found = part if found is None else found.unionByName(part)

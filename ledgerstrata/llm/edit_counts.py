@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import regex
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +27,7 @@ LOOKAHEAD = 2
 #: Pre-tokens whose count a worker remembers.
 REMEMBERED = 400_000
 
-TREE = "struct<chars: array<int>, tokens: array<int>>"
+TREE = "struct<chars: array<int>, tokens: array<int>, text: long>"
 EDITS = "array<struct<start: int, removed: int, inserted: string>>"
 
 #: What the query redacts, and by what.
@@ -152,6 +153,11 @@ def apply_edit(tree: TokenTree, text: str, start: int, removed: int, inserted: s
     return tree, new, place - origin
 
 
+def text_mark(text: str) -> int:
+    """Hash that says which text a stored tree belongs to."""
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
 def token_trees(docs: DataFrame, encoder: Encoder | None = None) -> DataFrame:
     """``doc_id, tree`` to be kept as a table: node sums of each text (null: empty), root first."""
     small_batches(docs.sparkSession)
@@ -160,8 +166,9 @@ def token_trees(docs: DataFrame, encoder: Encoder | None = None) -> DataFrame:
     def per_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counter = Counter(encoder)
         for batch in batches:
-            trees = [TokenTree.of_text(t or "", counter) for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "tree": [{"chars": t.chars, "tokens": t.tokens} for t in trees]})
+            texts = [t or "" for t in batch["text"]]
+            trees = [(TokenTree.of_text(t, counter), text_mark(t)) for t in texts]
+            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "tree": [{"chars": t.chars, "tokens": t.tokens, "text": mark} for t, mark in trees]})
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInPandas(per_batch, f"doc_id long, tree {TREE}")
@@ -197,7 +204,7 @@ def count_edited(docs: DataFrame, trees: DataFrame | None = None, encoder: Encod
     left it, ``removed`` characters there and the text ``inserted`` instead. Positions
     outside a text are moved to its ends; a null edit or null list does nothing; null in a field
     counts as 0 or empty. ``trees`` (of :func:`token_trees`) are matched by ``doc_id``; a document without
-    one, or with one that does not fit its text, gets one built. Null texts are empty;
+    one, or with one of another text (told by a hash), gets one built. Null texts are empty;
     repeated rows are counted each; other columns are not read; an empty table gives no rows.
     """
     small_batches(docs.sparkSession)
@@ -215,7 +222,7 @@ def count_edited(docs: DataFrame, trees: DataFrame | None = None, encoder: Encod
             for text, edits, kept in zip(batch["text"], batch["edits"], batch["tree"]):
                 text = text or ""
                 tree = TokenTree(kept["chars"], kept["tokens"]) if kept is not None else None
-                if tree is None or tree.chars[1] != len(text):
+                if tree is None or kept["text"] != text_mark(text):
                     tree = TokenTree.of_text(text, counter)
                 before, anew, done = tree.tokens[1], 0, 0
                 for edit in edits if edits is not None else ():
@@ -223,7 +230,7 @@ def count_edited(docs: DataFrame, trees: DataFrame | None = None, encoder: Encod
                         continue
                     tree, text, n = apply_edit(tree, text, int(edit["start"] or 0), int(edit["removed"] or 0), edit["inserted"] or "", counter)
                     anew, done = anew + n, done + 1
-                out.append((done, before, tree.tokens[1], len(text), anew, {"chars": tree.chars, "tokens": tree.tokens}))
+                out.append((done, before, tree.tokens[1], len(text), anew, {"chars": tree.chars, "tokens": tree.tokens, "text": text_mark(text)}))
             frame = pd.DataFrame(out, columns=["n_edits", "tokens_before", "tokens_after", "chars_after", "chars_recounted", "tree"])
             frame.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
             yield frame.astype({"doc_id": "Int64"})

@@ -247,6 +247,16 @@ def test_edited_documents(spark):
     assert edit_counts.count_edited(df.limit(0)).collect() == []
 
 
+def test_tree_of_another_text_is_not_taken(spark):
+    """Two texts of as many characters, one with four tokens and one with more."""
+    texts = ["the the the the the", "x9 Q#7 zz!k ~~ 4 _ "]
+    docs = spark.createDataFrame([(1, texts[1], [])], f"doc_id long, text string, edits {edit_counts.EDITS}")
+    trees = edit_counts.token_trees(spark.createDataFrame([(1, texts[0])], "doc_id long, text string"))
+    assert len(texts[0]) == len(texts[1])
+    with_tree, without = (edit_counts.count_edited(docs, t).first() for t in (trees, None))
+    assert with_tree == without
+
+
 # 5 ------------------------------------------------------------------ toxicity
 
 
@@ -369,6 +379,16 @@ def test_leaks_match_brute_force(spark, awkward):
     assert decontaminate.drop_leaks(docs, table.limit(0)).count() == len(rows)
 
 
+def test_items_that_share_an_id_are_all_searched(spark):
+    rng = random.Random(8)
+    one, two, three = (sentence(rng, 30) for _ in range(3))
+    table = spark.createDataFrame([(1, one), (1, two), (None, three), (None, one), (1, two)], "item_id long, text string")
+    docs = documents(spark, [(10, f"before {two} after"), (11, three), (12, one), (13, sentence(rng, 90))])
+    got = collections.Counter((r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, table).collect())
+    assert got == {(10, 1): 1, (11, None): 1, (12, 1): 1, (12, None): 1}
+    assert [r.doc_id for r in decontaminate.drop_leaks(docs, table).collect()] == [13]
+
+
 # 8 ------------------------------------------------------------------ quotes
 
 TALKS = [
