@@ -52,18 +52,19 @@ def split_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> tuple[DataF
 
 
 def in_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], slice_rows: int) -> DataFrame:
-    """The rows with their slice number, at most ``slice_rows`` to a slice.
+    """The rows with their slice number, about ``slice_rows`` to a slice.
 
-    Spark samples the borders of a few partitions per core; within each, sorted, every
-    ``slice_rows`` rows are a slice. So the number of tasks and files follows the
+    Spark samples the borders of range partitions, one per slice. Where that would be more than a few per core,
+    each holds several slices: sorted, every ``slice_rows`` rows are one. So the number of tasks and files follows the
     cluster, not ``slice_rows``. Slice numbers follow the order, and rows that are equal in it may lie in neighbouring
     slices. The numbered rows are written, as a repeated task might number them otherwise.
     """
     spark = df.sparkSession
     most = max(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    parts = min(most, max(2, -(-df.count() // slice_rows)))
+    wanted = max(2, -(-df.count() // slice_rows))
     by = [*(F.col(k) for k in keys), *order]
-    ranged = df.repartitionByRange(parts, *by).sortWithinPartitions(*by)
+    ranged = df.repartitionByRange(min(most, wanted), *by).sortWithinPartitions(*by)
     place = F.monotonically_increasing_id()  # the partition in the upper bits, the row in the lower 33
     row = place.bitwiseAND(F.lit((1 << 33) - 1))
-    return cut_lineage(ranged.withColumn(SLICE, place - row + F.floor(row / slice_rows)))
+    within = F.floor(row / slice_rows) if wanted > most else F.lit(0)
+    return cut_lineage(ranged.withColumn(SLICE, place - row + within))
