@@ -64,7 +64,7 @@ def scratch_root(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared:
         return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.partition("[")[0] == "local":  # local-cluster has executors of its own
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     own = tempfile.mkdtemp(prefix="ledgerstrata-")
     spark.sparkContext.setCheckpointDir(own)
