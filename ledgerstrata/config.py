@@ -76,12 +76,28 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+#: Spark's own setting that drops the shuffle files of a query once it has ended.
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def cut_lineage(df: DataFrame, compression: str | None = None) -> DataFrame:
     """The same rows as a table in the shared scratch folder.
 
     Later branches read its files, and of those only their columns, instead of
-    computing the rows again; losing an executor loses nothing.
+    computing the rows again; losing an executor loses nothing. The shuffle files
+    behind the rows go as soon as the table is written, so that a job of many steps
+    takes the disk of its widest step and not of all of them. ``compression``: a
+    parquet codec, None for the session's own.
     """
-    path = scratch_dir(df.sparkSession, "rows")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = scratch_dir(spark, "rows")
+    before = spark.conf.get(_DROP_SHUFFLES, None)
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path, compression=compression)
+    finally:
+        if before is None:
+            spark.conf.unset(_DROP_SHUFFLES)
+        else:
+            spark.conf.set(_DROP_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
