@@ -15,7 +15,7 @@ from ..plans import silver
 from ..schemas import SNAPSHOT_ENTITIES
 from ..sources.headers import header_table, read_by_header
 from ..sources.landing import stream_landing
-from ..sources.tables import exists, path_of, stream_table, write_batch
+from ..sources.tables import BATCH, exists, path_of, stream_table, write_batch
 
 
 def checkpoint_of(settings: Settings, query: str) -> str:
@@ -84,15 +84,17 @@ def clean_and_count(spark: SparkSession, settings: Settings, entity: str, **opti
     """New raw rows of a snapshot entity into the cleaned table, its rules counted on the way.
 
     The counts are observed by the write itself, so raw rows are read once. Rows and counts of a micro-batch have
-    folders of their own; a repeated batch replaces both.
+    folders of their own; a repeated batch replaces both. A batch without rows (an empty file) leaves nothing observed, as Spark
+    drops the counters with a plan that turns out empty; it is counted as it was written.
     """
     rules = quality.rules_for(entity, settings)
-    _own_folders(spark, settings, f"{entity}_clean_silver")
+    path = _own_folders(spark, settings, f"{entity}_clean_silver")
 
     def take(rows: DataFrame, batch: int) -> None:
         passing, observation = quality.observed(silver.clean_snapshot(entity, rows, settings), rules, f"{entity}_{batch}")
         write_batch(passing, settings, f"{entity}_clean_silver", batch)
-        seen = observation.get
+        stored = spark.read.schema(passing.schema).parquet(f"{path}/{BATCH}={batch}")
+        seen = stored.agg(*quality.counters(rules)).first().asDict() if stored.isEmpty() else observation.get
         counts = [(rule, seen[f"{rule}__passed"], seen[f"{rule}__failed"]) for rule in rules]
         (spark.createDataFrame(counts, "rule string, passed_rows long, failed_rows long").coalesce(1)
          .write.mode("overwrite").parquet(f"{rules_root(settings)}/entity={entity}/batch={batch}"))

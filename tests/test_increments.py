@@ -143,6 +143,18 @@ def test_rules_are_counted_in_the_write(spark, tmp_path):
     assert read_table(spark, settings, "customers_clean_silver").count() == 3
 
 
+def test_rules_observed_of_an_empty_file(spark, tmp_path):
+    settings = Settings(root=str(tmp_path / "lake"), as_of=AS_OF)
+    bank.land(tmp_path, "accounts", [bank.account("A", "1")], "2024.01.01")
+    raw = read_landing(spark, str(tmp_path / "landing_data"), "accounts")
+    for rows in (raw.limit(0), raw, raw.limit(0)):
+        rows.coalesce(1).write.mode("append").parquet(path_of(settings, "accounts_bronze"))
+        feeds.clean_and_count(spark, settings, "accounts", max_files=1).awaitTermination()
+    totals = {r["rule"]: (r["passed_rows"], r["failed_rows"]) for r in feeds.rule_totals(spark, settings).collect()}
+    assert totals == {"valid_account": (1, 0), "valid_mena": (1, 0)}
+    assert read_table(spark, settings, "accounts_clean_silver").count() == 1
+
+
 def test_one_owner_of_a_cleaned_table(spark, tmp_path):
     settings = Settings(root=str(tmp_path / "lake"), as_of=AS_OF)
     bank.land(tmp_path, "accounts", [bank.account("A", "1")], "2024.01.01")
