@@ -510,6 +510,18 @@ def test_no_lines_and_null_ids(spark):
 # 10 ----------------------------------------------------------------- passages
 
 
+def test_repeated_passages_behind_a_part(spark):
+    """Two texts share a passage, of which a third has two parts that are too short but share its signatures."""
+    rng = np.random.default_rng(5)
+    words = lambda n: [f"w{x}" for x in rng.integers(0, 1 << 40, n)]
+    rows = []
+    for n in range(0, 600, 3):
+        passage = words(50)
+        rows += [(n, " ".join(passage[:44] + words(40) + passage[6:])), (n + 1, " ".join(words(30) + passage + words(30))), (n + 2, " ".join(words(30) + passage + words(30)))]
+    got = compact_windows.repeated_passages(documents(spark, rows)).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in got} == {(n + k, n + 1) for n in range(0, 600, 3) for k in (1, 2)}
+
+
 def test_repeated_passages(spark):
     rng = random.Random(21)
 
