@@ -90,9 +90,20 @@ def transaction_facts(
     settings: Settings,
 ) -> DataFrame:
     """All transactions with customer and place; duplicates are kept."""
-    owned = paid_by_card(card_transactions, owners_of_cards).unionByName(
-        moved_on_account(financial_transactions, owners))
-    return enriched(owned, cities, regions, settings)
+    return enriched(owned_transactions(card_transactions, financial_transactions, owners, owners_of_cards), cities, regions, settings)
+
+
+def owned_transactions(
+    card_transactions: DataFrame, financial_transactions: DataFrame, owners: DataFrame, owners_of_cards: DataFrame,
+) -> DataFrame:
+    """All transactions of known owners."""
+    return paid_by_card(card_transactions, owners_of_cards).unionByName(moved_on_account(financial_transactions, owners))
+
+
+def by_period(owned: DataFrame) -> DataFrame:
+    """Transactions dealt to the year and month they are filed under, before names and segments widen them."""
+    periods = {"transaction_year": F.year("datum"), "transaction_month": F.month("datum")}
+    return owned.withColumns(periods).hint("rebalance", *periods)
 
 
 def business_metrics(facts: DataFrame, settings: Settings) -> DataFrame:

@@ -20,9 +20,10 @@ from .feeds import append
 def stream_facts(
     spark: SparkSession, settings: Settings, owners: DataFrame, owners_of_cards: DataFrame, cities: DataFrame, regions: DataFrame,
 ) -> StreamingQuery:
-    """New card and account transactions into the fact table."""
+    """New card and account transactions into the fact table; each task writes few periods, so files stay few as data grows."""
     card, financial = (stream_table(spark, settings, f"{kind}_transactions_silver") for kind in ("card", "financial"))
-    return append(gold.transaction_facts(card, financial, owners, owners_of_cards, cities, regions, settings), settings, FACTS)
+    owned = gold.by_period(gold.owned_transactions(card, financial, owners, owners_of_cards))
+    return append(gold.enriched(owned, cities, regions, settings), settings, FACTS)
 
 
 def stream_metrics(spark: SparkSession, settings: Settings) -> StreamingQuery:
