@@ -37,7 +37,7 @@ class FactFeed:
         card = kind == gold.CARD
         self.source = "card_transactions_silver" if card else "financial_transactions_silver"
         self.key = "card_id" if card else "account_id"
-        self.enrich = gold.card_facts if card else gold.financial_facts
+        self.own = gold.paid_by_card if card else gold.moved_on_account
         self.transactions = stream_table(spark, settings, self.source)
         self.late = f"{kind}_late"
 
@@ -59,7 +59,7 @@ class FactFeed:
         unknown = join_on(rows, owners.select(self.key), [self.key], "left_anti").withColumn("bucket", bucket)
         (sized_for_writing(unknown, ["bucket"]).write.mode("overwrite").partitionBy("bucket")
          .parquet(self._folder("waiting", batch)))
-        self._publish(rows, owners, cities, regions, batch, self.kind)
+        self._publish(self.own(rows, owners), cities, regions, batch, self.kind)
 
     def settle(self) -> None:
         """Facts of waiting rows whose owner has become known since the last call.
@@ -89,18 +89,25 @@ class FactFeed:
         earlier = (self.spark.read.schema(f"{self.key} string, upto long, feed string, batch long")
                    .parquet(feed_root(self.settings, "looked")).where((F.col("feed") == self.late) & (F.col("batch") < turn))
                    .groupBy(self.key).agg(F.max("upto").alias("upto")))
+        # Owners that are due are joined with their last look-up first, so that waiting rows are dealt out only once.
+        due = owners.join(new.join(earlier, self.key, "left").withColumnRenamed("upto", "_upto"), self.key)
         waiting = self._waiting().where(F.col("batch") <= newest)
         # At most WAITING_BUCKETS numbers reach the driver; they prune the folders of waiting rows.
         bucket = F.pmod(F.xxhash64(self.key), F.lit(WAITING_BUCKETS)).cast("int")
         buckets = [r[0] for r in new.select(bucket.alias("b")).distinct().collect()]
-        due = (waiting.where(F.col("bucket").isin(buckets)).join(new, self.key, "left_semi").join(earlier, self.key, "left")
-               .where("upto IS NULL OR batch > upto").select(*self.transactions.columns))
-        self._publish(due, owners, cities, regions, turn, self.late)
+        waiting = waiting.where(F.col("bucket").isin(buckets)).select(*self.transactions.columns, F.col("batch").alias("_batch"))
+        owned = self.own(waiting, due).where("_upto IS NULL OR _batch > _upto").drop("_upto", "_batch")
+        self._publish(owned, cities, regions, turn, self.late)
         if last:  # the call before the last is no longer compared with
             known.limit(0).write.mode("overwrite").parquet(self._folder("known", last - 1, self.late))
 
-    def _publish(self, rows: DataFrame, owners, cities, regions, batch: int, feed: str) -> None:
-        facts = self.enrich(rows, owners, cities, regions, self.settings)
+    def _publish(self, owned: DataFrame, cities, regions, batch: int, feed: str) -> None:
+        """Write the facts and metrics of transactions with their owners.
+
+        Rows are dealt to the periods before names and segments widen them. Files of facts lie by period, so
+        metrics are written from them without being dealt again.
+        """
+        facts = gold.enriched(gold.by_period(owned), cities, regions, self.settings)
         self._write(facts, FACTS, batch, feed)
         written = self.spark.read.schema(facts.schema).parquet(self._folder(FACTS, batch, feed))
         self._write(gold.business_metrics(written, self.settings), METRICS, batch, feed)
@@ -108,9 +115,7 @@ class FactFeed:
          .parquet(self._folder("published", batch, feed)))
 
     def _write(self, df: DataFrame, table: str, batch: int, feed: str) -> None:
-        parts = [c for c in PERIOD if c in df.columns]
-        (sized_for_writing(df, parts).write.mode("overwrite").partitionBy(*parts)
-         .parquet(self._folder(table, batch, feed)))
+        df.write.mode("overwrite").partitionBy(*(c for c in PERIOD if c in df.columns)).parquet(self._folder(table, batch, feed))
 
     def _newest(self, feed: str) -> int | None:
         if not exists(self.spark, feed_root(self.settings, "published")):

@@ -11,8 +11,9 @@ from ledgerstrata.config import Settings
 from ledgerstrata.schemas import FACT_COLUMNS, bronze_schema
 from ledgerstrata.operators.quality import good_records
 from ledgerstrata.plans.silver import flagged_snapshot
-from ledgerstrata.sources.tables import compact, path_of, publish, read_table, refresh, reset
-from ledgerstrata.streaming import feeds
+from ledgerstrata.sources.tables import compact, path_of, publish, read_table, refresh, reset, schema_of
+from ledgerstrata.streaming import facts as streaming_facts
+from ledgerstrata.streaming import feeds, native
 from ledgerstrata.streaming import history as streaming_history
 from ledgerstrata.streaming.facts import FactFeed, read_feed
 from ledgerstrata.streaming.history import HistoryFeed
@@ -215,3 +216,52 @@ def test_reference_mode_chain(spark, tmp_path):
     assert {r["time_period"] for r in read_table(spark, settings, METRICS).collect()} == {"Night"}
     assert "transaction_year" not in read_table(spark, settings, METRICS).columns
     assert "/silver/" in path_of(settings, "dim_cards")
+
+
+def _paid(spark, settings):
+    """Payments of 21 cards, each in four months, all owners but that of the last card, and places."""
+    rows = spark.range(84).select(
+        F.concat(F.lit("T"), "id").alias("card_transaction_id"), (F.col("id") % 21).cast("string").alias("card_id"), F.lit(7).alias("amount"),
+        F.add_months(F.lit("2024-01-09").cast("date"), (F.col("id") % 4).cast("int")).alias("datum"))
+    for name in ("card_transactions_silver", "financial_transactions_silver"):
+        schema = schema_of(spark, settings, name)
+        there = rows if name.startswith("card") else rows.limit(0)
+        shown = [(F.col(f.name) if f.name in there.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema]
+        there.select(*shown).write.parquet(path_of(settings, name))
+    owners = spark.createDataFrame([("A", "C", 40, "100")], "account_id string, customer_id string, client_age int, customer_income string")
+    owners = owners.withColumn("customer_income", F.col("customer_income").cast("decimal(20,2)"))
+    cards = spark.createDataFrame([(str(n), "A") for n in range(20)], "card_id string, account_id string").join(owners, "account_id")
+    places = [spark.createDataFrame([], f"{key} string, nazev string") for key in ("city_id", "region_id")]
+    return owners, cards, places
+
+
+def test_fact_batch_is_dealt_to_periods_once(spark, tmp_path, monkeypatch):
+    """Only waiting rows are dealt out by the writer: facts are on their way, and metrics lie as the facts."""
+    settings = Settings(root=str(tmp_path / "lake"), as_of=dt.date(2024, 6, 30))
+    _, cards, places = _paid(spark, settings)
+    dealt = []
+    monkeypatch.setattr(streaming_facts, "sized_for_writing", lambda df, by: dealt.append(list(by)) or df)
+    feed = FactFeed(spark, settings, "CARD", lambda: (cards, *places))
+    feed.run().awaitTermination()
+    assert dealt == [["bucket"]]
+    for table in (FACTS, METRICS):
+        found = read_feed(spark, settings, table).groupBy("transaction_year", "transaction_month").count().collect()
+        assert {(r[0], r[1], r[2]) for r in found} == {(2024, m, 20) for m in (1, 2, 3, 4)}
+    late = cards.unionByName(cards.limit(1).withColumn("card_id", F.lit("20")))
+    feed = FactFeed(spark, settings, "CARD", lambda: (late, *places))
+    for _ in range(2):
+        feed.settle()
+        assert read_feed(spark, settings, FACTS).count() == 84 and read_feed(spark, settings, METRICS).count() == 84
+
+
+def test_native_facts_are_dealt_to_periods(spark, tmp_path, monkeypatch):
+    """However many tasks join, few write into one period."""
+    settings = Settings(root=str(tmp_path / "lake"), as_of=dt.date(2024, 6, 30))
+    owners, cards, places = _paid(spark, settings)
+    written, append = [], native.append
+    monkeypatch.setattr(native, "append", lambda df, *to: written.append(df) or append(df, *to))
+    native.stream_facts(spark, settings, owners, cards, *places).awaitTermination()
+    assert "RebalancePartitions [transaction_year" in written[0]._jdf.queryExecution().analyzed().toString()
+    files = list((tmp_path / "lake").rglob(f"{FACTS}/transaction_year=*/transaction_month=*/*.parquet"))
+    assert len(files) == 4
+    assert read_table(spark, settings, FACTS).count() == 80
