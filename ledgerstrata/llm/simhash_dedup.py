@@ -84,14 +84,15 @@ def near_fingerprints(fps: DataFrame) -> DataFrame:
                 .where(F.col("value").bitwiseAND(F.col("flip")) == 0)
                 .select("fp", "segment", F.col("value").bitwiseOR(F.col("flip")).alias("value")))
     hubs = cut_lineage(owners.groupBy("segment", "value").agg(F.min("fp").alias("hub")))
+    # Spark sizes exploded rows as if they were one each, and would broadcast all visitors: so both sides are shuffled, always.
     hits = (owners.withColumn("owner", F.lit(True)).unionByName(visitors.withColumn("owner", F.lit(False)))
-            .join(hubs, ["segment", "value"]).where("fp <> hub or not owner"))
+            .hint("merge").join(hubs, ["segment", "value"]).where("fp <> hub or not owner"))
     hits = cut_lineage(hits)
     edges = hits.where(_near("fp", "hub")).select(F.col("hub").alias("a"), F.col("fp").alias("b"))
     groups = cut_lineage(connected_components(edges))
 
     hubs_hit = hits.select("segment", "value", F.col("hub").alias("fp"), F.lit(True).alias("owner")).distinct()
-    placed = (hits.drop("hub").unionByName(hubs_hit)
+    placed = (hits.drop("hub").unionByName(hubs_hit).hint("merge")
               .join(groups.select(F.col("node").alias("fp"), F.col("component_id").alias("g")), "fp", "left")
               .withColumn("g", F.coalesce("g", "fp")))
     placed = cut_lineage(placed)
@@ -99,7 +100,7 @@ def near_fingerprints(fps: DataFrame) -> DataFrame:
     placed = cut_lineage(placed.join(cut_lineage(mixed), ["segment", "value"]))
     own = placed.where("owner").select("segment", "value", F.col("fp").alias("a"), F.col("g").alias("ga"))
     other = placed.select("segment", "value", F.col("fp").alias("b"), F.col("g").alias("gb"), "owner")
-    rest = (own.join(other, ["segment", "value"])
+    rest = (own.hint("merge").join(other, ["segment", "value"])
             .where((F.col("ga") != F.col("gb")) & (~F.col("owner") | (F.col("a") < F.col("b"))) & _near("a", "b"))
             .select("a", "b"))
     return groups.where("node <> component_id").select(F.col("component_id").alias("a"), F.col("node").alias("b")).unionByName(rest)

@@ -201,6 +201,21 @@ def test_no_fingerprints(spark):
     assert simhash_dedup.simhash_groups(spark.createDataFrame([], DOCS)).collect() == []
 
 
+def test_no_probes_are_broadcast(spark, tmp_path, monkeypatch):
+    """Spark takes 32 probes of a segment for one row, and files of numbers are smaller than their rows."""
+    spark.range(3000).selectExpr("xxhash64(id) as fp").write.parquet(f"{tmp_path}/fps")
+    plans = []
+
+    def seen(df, cut=simhash_dedup.cut_lineage):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+
+    monkeypatch.setattr(simhash_dedup, "cut_lineage", seen)
+    plans.append(simhash_dedup.near_fingerprints(spark.read.parquet(f"{tmp_path}/fps"))._jdf.queryExecution().executedPlan().toString())
+    probing = [p for p in plans if "explode" in p]
+    assert probing and not any("Broadcast" in p for p in probing)
+
+
 # 4 ------------------------------------------------------------------ token counts
 
 
