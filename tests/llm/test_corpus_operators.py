@@ -10,6 +10,7 @@ from pathlib import Path
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
@@ -489,6 +490,42 @@ def test_lines_at_the_stated_similarity_are_all_found(spark, crowded):
     assert {r.doc_id: r.removed_lines for r in fuzzy_lines.line_dedup_report(documents(spark, list(texts.items()))).collect()} == want
 
 
+def keys_of(spark, lines):
+    """Keys by line number that lines of words are filed under."""
+    docs = spark.createDataFrame([(i, " ".join(line)) for i, line in enumerate(lines)], DOCS)
+    seen = fuzzy_lines.occurrences(docs).select(F.col("doc_id").alias("line"), "w")
+    keys = collections.defaultdict(set)
+    for r in fuzzy_lines._filed(seen).collect():
+        keys[r.line].add(r.key)
+    return keys
+
+
+def test_short_lines_within_the_similarity_share_a_key(spark):
+    rng = random.Random(18)
+    lines = []
+    for n in range(4, 40):
+        for spread in range(30):
+            line = words(rng, n, 10**6)
+            near, most = list(line), n // 5 + (spread % 3 == 0)
+            places = [int((k + 0.5) * n / max(most, 1)) for k in range(most)] if spread < 10 else sorted(rng.sample(range(n), min(most, n)))
+            for k, at in reversed(list(enumerate(places))):
+                near[at:at + rng.randrange(2) * (spread % 2) + 1 - spread % 2] = [f"v{rng.randrange(10**6)}"][:1 + (spread % 5 > 0)]
+            if brute.edit_distance(line, near) <= max(n, len(near)) // 5 and max(n, len(near)) < 40:
+                lines += [line, near]
+    assert len(lines) > 1000
+    keys = keys_of(spark, lines)
+    assert all(keys[i] & keys[i + 1] for i in range(0, len(lines), 2) if lines[i] != lines[i + 1])
+
+
+@pytest.mark.parametrize("n", [10, 60])
+def test_lines_that_share_two_words_are_no_candidates(spark, n):
+    """A pair of words occurs in ever more unrelated lines as a corpus grows; they must not be compared."""
+    rng = random.Random(19)
+    keys = keys_of(spark, [["uncommonly", "beginning", *words(rng, n, 10**9)] for _ in range(50)])
+    counts = collections.Counter(k for own in keys.values() for k in own)
+    assert len(keys) == 50 and max(counts.values()) == 1
+
+
 def test_other_words_are_no_near_lines(spark):
     """Two of five words differ: similarity 0.6, whatever characters stand for the words."""
     rows = [(1, "mem understanding philosophical arrangements carefully"), (2, "cek understanding philosophical arrangements slowly")]
