@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..catalog import TABLES
-from ..config import Settings
+from ..config import Settings, dropping_shuffles, tasks_of
 from .tables import path_of, read_table
 
 #: Bytes below which a file counts as small.
 SMALL_FILE = 64 << 20
+#: Bytes of the partitions that are rewritten in one job.
+REWRITTEN_AT_ONCE = 2 << 30
 
 
 def write_bucketed(df: DataFrame, settings: Settings, name: str, keys: Sequence[str], buckets: int) -> str:
@@ -52,17 +54,28 @@ def partition_files(spark: SparkSession, settings: Settings, name: str, small: i
 
 
 def compact_crowded(spark: SparkSession, settings: Settings, name: str, *, small: int = SMALL_FILE, at_least: int = 2) -> int:
-    """Rewrite every partition that holds ``at_least`` small files, in one job; returns how many there were.
+    """Rewrite every partition that holds ``at_least`` small files; returns how many there were.
 
-    What is whole stays untouched, so a second call finds nothing to do. Partitions are replaced when the job commits.
+    What is whole stays untouched, so a second call finds nothing to do. A job takes partitions of about ``REWRITTEN_AT_ONCE``
+    bytes, so the disk for its shuffle and for old files next to new ones does not grow with the table. They are replaced when it commits.
     """
     parts = list(TABLES[name].partitions(settings))
-    crowded = partition_files(spark, settings, name, small).where(F.col("small_files") >= at_least).select(*parts)
+    crowded = partition_files(spark, settings, name, small).where(F.col("small_files") >= at_least).select(*parts, "bytes")
     chosen = crowded.collect()  # partitions with small files
     if not chosen:
         return 0
-    rows = read_table(spark, settings, name)
-    due = spark.createDataFrame(chosen, crowded.schema).select(*(F.col(p).cast(rows.schema[p].dataType).alias(p) for p in parts))
-    (rows.join(F.broadcast(due), parts, "left_semi").hint("rebalance", *map(F.col, parts))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path_of(settings, name)))
+    jobs, filled = [[]], 0
+    for partition in chosen:
+        if jobs[-1] and filled + partition["bytes"] > REWRITTEN_AT_ONCE:
+            jobs.append([])
+            filled = 0
+        jobs[-1].append(partition)
+        filled += partition["bytes"]
+    for job in jobs:
+        rows = read_table(spark, settings, name)
+        due = spark.createDataFrame(job, crowded.schema).select(*(F.col(p).cast(rows.schema[p].dataType).alias(p) for p in parts))
+        # A task's rows are smaller as a file; in smaller tasks a month would be cut in small files again, and rewritten by each call.
+        with dropping_shuffles(spark), tasks_of(spark, 4 * small):
+            (rows.join(F.broadcast(due), parts, "left_semi").hint("rebalance", *map(F.col, parts))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(path_of(settings, name)))
     return len(chosen)

@@ -123,3 +123,24 @@ def test_only_crowded_partitions_are_rewritten(spark, tmp_path):
     assert files() == {1: 1, 2: 1} and {str(p) for p in tmp_path.rglob("transaction_month=2/*.parquet")} == whole
     assert layouts.compact_crowded(spark, settings, FACTS) == 0
     assert sorted(int(r["transaction_id"]) for r in read_table(spark, settings, FACTS).collect()) == list(range(90))
+
+
+def test_crowded_partitions_are_rewritten_in_bounded_jobs(spark, tmp_path, rows_of, monkeypatch):
+    settings = Settings(root=str(tmp_path))
+    schema = schema_of(spark, settings, FACTS)
+    for _ in range(3):
+        rows = spark.range(4).selectExpr("cast(id as string) AS transaction_id", "2024 AS transaction_year", "cast(id + 1 as int) AS transaction_month")
+        filled = rows.select(*(F.col(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema))
+        filled.coalesce(1).write.mode("append").partitionBy(*PERIOD).parquet(path_of(settings, FACTS))
+    before = rows_of(read_table(spark, settings, FACTS), "transaction_id", "transaction_month")
+    jobs = []
+
+    def seen(session, writes=layouts.dropping_shuffles):
+        jobs.append(len(layouts.partition_files(spark, settings, FACTS).where("files > 1").collect()))
+        return writes(session)
+
+    monkeypatch.setattr(layouts, "dropping_shuffles", seen, raising=False)
+    monkeypatch.setattr(layouts, "REWRITTEN_AT_ONCE", 1, raising=False)
+    assert layouts.compact_crowded(spark, settings, FACTS) == 4 and jobs == [4, 3, 2, 1]
+    assert layouts.compact_crowded(spark, settings, FACTS) == 0
+    assert rows_of(read_table(spark, settings, FACTS), "transaction_id", "transaction_month") == before
