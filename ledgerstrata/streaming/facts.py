@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..catalog import FACTS, METRICS, PERIOD
-from ..config import Settings, cut_lineage
+from ..config import Settings, dropping_shuffles, passing_tables
 from ..operators.hotkeys import join_on
 from ..plans import gold
 from ..schemas import FACT_COLUMNS
@@ -23,6 +23,8 @@ from .feeds import checkpoint_of
 
 #: Folders that waiting rows are filed in by key; a look-up of few keys reads few of them.
 WAITING_BUCKETS = 64
+#: Bytes of files that one micro-batch takes in; its shuffles take disk in proportion.
+BYTES_AT_ONCE = 1 << 30
 
 
 class FactFeed:
@@ -38,7 +40,7 @@ class FactFeed:
         self.source = "card_transactions_silver" if card else "financial_transactions_silver"
         self.key = "card_id" if card else "account_id"
         self.own = gold.paid_by_card if card else gold.moved_on_account
-        self.transactions = stream_table(spark, settings, self.source)
+        self.transactions = stream_table(spark, settings, self.source, max_bytes=BYTES_AT_ONCE)
         self.late = f"{kind}_late"
 
     def run(self) -> StreamingQuery:
@@ -54,12 +56,14 @@ class FactFeed:
     def take(self, rows: DataFrame, batch: int) -> None:
         """Facts of the rows whose owner is known; the others are set aside, once."""
         owners, cities, regions = self.dimensions()
-        owners = cut_lineage(owners)
-        bucket = F.pmod(F.xxhash64(self.key), F.lit(WAITING_BUCKETS)).cast("int")
-        unknown = join_on(rows, owners.select(self.key), [self.key], "left_anti").withColumn("bucket", bucket)
-        (sized_for_writing(unknown, ["bucket"]).write.mode("overwrite").partitionBy("bucket")
-         .parquet(self._folder("waiting", batch)))
-        self._publish(self.own(rows, owners), cities, regions, batch, self.kind)
+        with passing_tables(self.spark) as passing:
+            owners = passing(owners)
+            bucket = F.pmod(F.xxhash64(self.key), F.lit(WAITING_BUCKETS)).cast("int")
+            unknown = join_on(rows, owners.select(self.key), [self.key], "left_anti").withColumn("bucket", bucket)
+            with dropping_shuffles(unknown.sparkSession):
+                (sized_for_writing(unknown, ["bucket"]).write.mode("overwrite").partitionBy("bucket")
+                 .parquet(self._folder("waiting", batch)))
+            self._publish(self.own(rows, owners), cities, regions, batch, self.kind)
 
     def settle(self) -> None:
         """Facts of waiting rows whose owner has become known since the last call.
@@ -74,7 +78,11 @@ class FactFeed:
         last = self._newest(self.late)
         turn = 0 if last is None else last + 1
         owners, cities, regions = self.dimensions()
-        owners = cut_lineage(owners)
+        with passing_tables(self.spark) as passing:
+            self._settle(newest, last, turn, passing(owners), cities, regions)
+
+    def _settle(self, newest: int, last: int | None, turn: int, owners: DataFrame, cities: DataFrame, regions: DataFrame) -> None:
+        """Facts of the waiting rows of batches up to ``newest`` whose owners were not there at the turn ``last``."""
         known = owners.select(self.key).where(F.col(self.key).isNotNull()).distinct()
         known.write.mode("overwrite").parquet(self._folder("known", turn, self.late))
         known = self.spark.read.schema(known.schema).parquet(self._folder("known", turn, self.late))
@@ -115,7 +123,8 @@ class FactFeed:
          .parquet(self._folder("published", batch, feed)))
 
     def _write(self, df: DataFrame, table: str, batch: int, feed: str) -> None:
-        df.write.mode("overwrite").partitionBy(*(c for c in PERIOD if c in df.columns)).parquet(self._folder(table, batch, feed))
+        with dropping_shuffles(df.sparkSession):
+            df.write.mode("overwrite").partitionBy(*(c for c in PERIOD if c in df.columns)).parquet(self._folder(table, batch, feed))
 
     def _newest(self, feed: str) -> int | None:
         if not exists(self.spark, feed_root(self.settings, "published")):
